@@ -1,10 +1,14 @@
 """Queries and SQL of the text operators, for the entry point."""
 
-from . import quality
+from . import minhash, ppm, quality, token_output
 
 QUERIES = {
+    "op2_token_output": token_output.op2_token_output,
+    "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op8_lm_scoring": ppm.op8_lm_scoring,
 }
 ORACLE_SQL = {
+    "op4_minhash_near_dedup": minhash.OP4_SQL,
     "op6_quality_rules": quality.OP6_SQL,
 }
