@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, crc_mod, cut, n_shuffle, table, texts
 
-ORDER = 4
+ORDER = 5
 EDGE = 0xFF  # never part of UTF-8: stands before the first byte and after the last
 _WORDS, _GRAMS, _ASK_WORDS, _ASK_CONTEXTS, _TOTALS = range(5)
 #: A word key that no 64-bit word hash is likely to have: the end of a document.

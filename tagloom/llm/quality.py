@@ -134,6 +134,15 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, window: int = 8) ->
     return d.withColumns({"base_failed": base, "failed_rules": failed}).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("one")
 
 
+def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of docs that no rule rejects, with their own columns.
+
+    The verdict passes through a generator, so that the filter is not pushed into the projection, where it would
+    compute each of its measures again for each rule.
+    """
+    return judge(docs, rules).select(*docs.columns, F.explode(F.array("kept")).alias("_kept")).where("_kept").drop("_kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,6 +1,6 @@
 """Queries and SQL of the text operators, for the entry point."""
 
-from . import chat, language, minhash, mixing, ppm, quality, suffix, token_counts, token_output
+from . import chat, decontaminate, language, minhash, mixing, ppm, quality, suffix, token_counts, token_output
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_preference_chat": chat.op7_preference_chat,
     "op8_lm_scoring": ppm.op8_lm_scoring,
+    "op9_decontamination": decontaminate.op9_decontamination,
     "op10_suffix_dedup": suffix.op10_suffix_dedup,
 }
 ORACLE_SQL = {
