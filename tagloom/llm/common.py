@@ -36,7 +36,17 @@ def cut(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: a lineage cut that outlives executors."""
     path = fresh_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # the cleaner frees the step's shuffle files once their plan is collected
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def forget(spark: SparkSession, *dfs: DataFrame) -> None:
+    """Delete the tables of cut() that no later step reads."""
+    for df in dfs:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def n_shuffle(spark: SparkSession) -> int:

@@ -26,22 +26,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import clear_batches, cut, mix, n_shuffle, table, texts
+from .common import clear_batches, cut, forget, mix, n_shuffle, table, texts
 
 GRAM = 32
 _TABLE = np.random.default_rng(11).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LEVEL = np.random.default_rng(12).integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def gram_hashes(buf: np.ndarray) -> np.ndarray:
-    """64-bit hashes of all GRAM-byte strings (a power of two), by doubling."""
-    h, size, level = _TABLE[buf], 1, 0
-    while size < GRAM:
+_LEVEL = np.random.default_rng(12).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MUL = np.uint64(0x9E3779B97F4A7C15)
+
+
+def string_hashes(buf: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """64-bit hashes of all strings of each size, powers of two in ascending order, by doubling."""
+    h, size, level, out = _TABLE[buf], 1, 0, []
+    while True:
+        if size in sizes:
+            out.append(mix(h))
+            if size == sizes[-1]:
+                return out
         h = h[:-size] * _LEVEL[level] + (h[size:] ^ (h[size:] >> np.uint64(31)))
         size, level = 2 * size, level + 1
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(32))
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -55,13 +57,19 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(docs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """Anchor of every window of `length` bytes: (document, anchor offset, first start, last start, gram hash) by runs."""
+    """Anchor of every window of `length` bytes, by runs of windows with the same anchor:
+
+    document, anchor offset, first and last window start, anchor hash, and a hash of the context, which is the bytes
+    that the run's windows span and the anchor's place in them.
+    """
+    none = tuple(np.empty(0, np.int64) for _ in range(4)) + (np.empty(0, np.uint64),) * 2
     buf = np.frombuffer(b"".join(docs), np.uint8)
     size = np.array([len(d) for d in docs], np.int64)
     first = np.cumsum(size) - size
     if len(buf) < length:
-        return tuple(np.empty(0, np.int64) for _ in range(4)) + (np.empty(0, np.uint64),)
-    h = gram_hashes(buf)
+        return none
+    block = 1 << (length.bit_length() - 1)
+    h, wide = string_hashes(buf, (GRAM, block))
     low = np.uint64(0xFFFFFFFF)
     packed = (h & ~low) | np.arange(len(h), dtype=np.uint64)  # equal values: the leftmost is least
     at = (_least(packed, length - GRAM + 1) & low).astype(np.int64)  # by window start
@@ -70,11 +78,15 @@ def anchors(docs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     ok = start + length <= (first + size)[doc]
     start, at, doc = start[ok], at[ok], doc[ok]
     if not len(start):
-        return tuple(np.empty(0, np.int64) for _ in range(4)) + (np.empty(0, np.uint64),)
+        return none
     new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])]))
     last = np.append(new[1:], len(start)) - 1
-    d = doc[new]
-    return d, at[new] - first[d], start[new] - first[d], start[last] - first[d], h[at[new]]
+    d, a, lo, hi = doc[new], at[new], start[new], start[last]
+    # Blocks of a fixed size that cover the context: the hash of those, its size and the anchor's place.
+    c = mix((a - lo).astype(np.uint64) * _MUL + (hi - lo).astype(np.uint64))
+    for k in range(-(-2 * length // block)):
+        c = mix(c * _MUL + wide[np.minimum(lo + k * block, hi + length - block)])
+    return d, a - first[d], lo - first[d], hi - first[d], h[a], c
 
 
 def _segments(text: bytes, length: int, step: int = 4 << 20) -> Iterator[tuple[int, bytes]]:
@@ -104,44 +116,37 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
                         n += len(pieces[e][2])
                         e += 1
                     part = pieces[k:e]
-                    d, pos, lo, hi, h = anchors([t for _, _, t in part], length)
+                    d, pos, lo, hi, h, c = anchors([t for _, _, t in part], length)
                     cuts = np.searchsorted(d, np.arange(len(part) + 1))
                     for m, (doc, s, _) in enumerate(part):
                         x = slice(cuts[m], cuts[m + 1])
                         if cuts[m] < cuts[m + 1]:
-                            got[doc - i].append((pos[x] + s, lo[x] + s, hi[x] + s, h[x].view(np.int64)))
+                            got[doc - i].append((pos[x] + s, lo[x] + s, hi[x] + s, h[x].view(np.int64), c[x].view(np.int64)))
                     k = e
-                cols: list[list] = [[np.concatenate(x) for x in zip(*g, strict=True)] if g else [[]] * 4 for g in got]
+                cols: list[list] = [[np.concatenate(x) for x in zip(*g, strict=True)] if g else [[]] * 5 for g in got]
                 yield pa.record_batch(
-                    [keys.slice(i, j - i), ids.slice(i, j - i), pa.array([len(b) for b in bodies[i:j]], pa.int64()), *(pa.array([c[m] for c in cols], pa.list_(pa.int64() if m == 3 else pa.int32())) for m in range(4))],
-                    ["key", "doc_id", "n_bytes", "pos", "lo", "hi", "h"],
+                    [keys.slice(i, j - i), ids.slice(i, j - i), pa.array([len(b) for b in bodies[i:j]], pa.int64()), *(pa.array([c[m] for c in cols], pa.list_(pa.int64() if m > 2 else pa.int32())) for m in range(5))],
+                    ["key", "doc_id", "n_bytes", "pos", "lo", "hi", "h", "c"],
                 )
                 i = j
 
-    return clear_batches(docs.select("key", "doc_id", "text")).mapInArrow(run, "key binary, doc_id long, n_bytes long, pos array<int>, lo array<int>, hi array<int>, h array<long>")
-
+    return clear_batches(docs.select("key", "doc_id", "text")).mapInArrow(run, "key binary, doc_id long, n_bytes long, pos array<int>, lo array<int>, hi array<int>, h array<long>, c array<long>")
 
-def make_contexts(wanted: DataFrame, length: int) -> DataFrame:
-    """(key, text, repeated anchors) to rows (cid, h, off, n, key, lo, body): the bytes that an anchor's windows span.
 
-    cid names the bytes and the anchor's place in them; body is given once for each batch.
-    """
+def take_bodies(wanted: DataFrame, length: int) -> DataFrame:
+    """(text, a) with a the contexts to take from text: rows (h, c, shard, off, n, body)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[bytes] = set()
-            keys, bodies, lists = batch.column("key").to_pylist(), texts(batch.column("text")), batch.column("a").to_pylist()
-            rows: list[tuple] = []
-            for key, text, list_ in zip(keys, bodies, lists, strict=True):
-                for a in list_:
-                    body = text[a["lo"] : a["hi"] + length]
-                    off, n = a["pos"] - a["lo"], a["hi"] - a["lo"] + 1
-                    cid = hashlib.blake2b(body, digest_size=16, salt=off.to_bytes(8, "little")).digest()
-                    rows.append((cid, a["h"], off, n, key, a["lo"], None if cid in seen else body))
-                    seen.add(cid)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()), strict=True)], ["cid", "h", "off", "n", "key", "lo", "body"])
+            rows = [
+                (a["h"], a["c"], a["shard"], a["pos"] - a["lo"], a["hi"] - a["lo"] + 1, text[a["lo"] : a["hi"] + length])
+                for text, list_ in zip(texts(batch.column("text")), batch.column("a").to_pylist(), strict=True)
+                for a in list_
+            ]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["h", "c", "shard", "off", "n", "body"])
 
-    return clear_batches(wanted.select("key", "text", "a"), 500).mapInArrow(run, "cid binary, h long, off int, n int, key binary, lo int, body binary")
+    return clear_batches(wanted.select("text", "a"), 500).mapInArrow(run, "h long, c long, shard int, off int, n int, body binary")
 
 
 def refine(group: np.ndarray, off: np.ndarray, n: np.ndarray, body: list[bytes], length: int, names: bool = False):
@@ -218,28 +223,31 @@ def _runs(bits: np.ndarray) -> list[int]:
 
 def _refine_all(length: int, names: bool):
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        groups = {g: i for i, g in enumerate(dict.fromkeys((r[1], r[2]) for r in rows))}
-        group = np.array([groups[r[1], r[2]] for r in rows])
+        rows = list({r[:3]: r for r in rows}.values())  # repeated input rows bring the same context again
+        groups = {g: i for i, g in enumerate(dict.fromkeys((r[0], r[2]) for r in rows))}
+        group = np.array([groups[r[0], r[2]] for r in rows])
         off, n, body = np.array([r[3] for r in rows]), np.array([r[4] for r in rows]), [r[5] for r in rows]
         got = refine(group, off, n, body, length, names)
         repeated, firsts = got if names else (got, None)
-        cids, runs, prints, places = [], [], [], []
+        hs, cs, runs, prints, places = [], [], [], [], []
         for i, r in enumerate(rows):
             bits = repeated[i, : n[i]]
             mine = np.flatnonzero(firsts[i, : n[i]]) if names else []
             if names or bits.any():
-                cids.append(r[0])
+                hs.append(r[0])
+                cs.append(r[1])
                 runs.append(_runs(bits))
                 prints.append([hashlib.blake2b(body[i][s : s + length], digest_size=16).digest() for s in mine])
                 places.append([int(s) for s in mine])
-        return pa.RecordBatch.from_arrays([pa.array(cids, pa.binary()), pa.array(runs, pa.list_(pa.int32())), pa.array(prints, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))], ["cid", "runs", "prints", "places"])
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((hs, cs, runs, prints, places), kinds, strict=True)], ["h", "c", "runs", "prints", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come ordered by (h, shard): whole groups are refined together, some 20,000 rows at a time."""
         held: list[tuple] = []
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("cid", "h", "shard", "off", "n", "body")), strict=True):
-                if len(held) >= 20_000 and (r[1], r[2]) != held[-1][1:3]:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("h", "c", "shard", "off", "n", "body")), strict=True):
+                if len(held) >= 20_000 and (r[0], r[2]) != (held[-1][0], held[-1][2]):
                     yield flush(held)
                     held = []
                 held.append(r)
@@ -250,42 +258,48 @@ def _refine_all(length: int, names: bool):
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows: int = 4000) -> tuple[DataFrame, DataFrame]:
-    """For docs (doc_id, key, text) with key a digest of the text: classes (key, n_bytes, copies) and spans (key, spans).
+    """For docs (doc_id, key, text) with key a digest of the text: classes (key, copies) and spans (key, hits).
 
-    spans are starts and ends of the maximal repeated byte runs; a class of two or more copies has no row there.
+    hits are the repeated windows of a class by context: lo, and starts and ends of runs of window starts after it.
     """
     found = cut(spark, find_anchors(docs, length), "anchors")
-    classes = found.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_bytes").alias("n_bytes"), F.first("pos").alias("pos"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("h").alias("h"))
-    classes = cut(spark, classes, "classes")
-    each = classes.select("key", F.explode(F.arrays_zip("h", "pos", "lo", "hi")).alias("a")).select("key", "a.*")
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
-    wanted = each.join(shared, "h").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "lo", "hi")).alias("a"))
-    wanted = wanted.join(classes.select("key", "rep"), "key").withColumnRenamed("key", "k")
-    bodies = docs.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "a")
-    contexts = cut(spark, make_contexts(bodies, length), "contexts")
-    members = contexts.select("cid", "key", "lo", "n").distinct()
-    distinct = contexts.groupBy("cid").agg(F.first("h").alias("h"), F.first("off").alias("off"), F.first("n").alias("n"), F.max("body").alias("body"), F.count_distinct("key", "lo").alias("c"))
-    distinct = cut(spark, distinct, "distinct")
-    # Anchors with one distinct context have nothing to compare; large ones are cut into shards.
-    sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    open_rows = distinct.join(sizes, "h").withColumn("shards", F.ceil(F.col("rows") / shard_rows)).withColumn("shard", F.pmod(F.xxhash64("cid"), F.col("shards")).cast("int"))
-    cols = ["cid", "h", "shard", "off", "n", "body"]
-    made = "cid binary, runs array<int>, prints array<binary>, places array<int>"
+    cols = ("n_bytes", "pos", "lo", "hi", "h", "c")
+    classes = found.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *[F.first(x).alias(x) for x in cols])
+    classes = cut(spark, classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # ids are fixed by writing them
+    forget(spark, found)
+    each = classes.select("id", F.explode(F.arrays_zip("h", "c", "pos", "lo", "hi")).alias("a")).select("id", "a.*")
+    shared = classes.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
+    members = cut(spark, each.join(shared, "h"), "members")
+    # One representative for each distinct context. Anchors with one context have nothing to compare; those with very
+    # many are cut into shards.
+    contexts = cut(spark, members.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos", "lo", "hi")).alias("at")), "contexts")
+    sizes = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    shards = F.ceil(F.col("rows") / shard_rows)
+    shard = F.when(shards > 1, 1 + F.pmod(F.xxhash64("c"), shards)).otherwise(0).cast("int")
+    ask = contexts.join(sizes, "h").groupBy("at.id").agg(F.collect_list(F.struct("h", "c", shard.alias("shard"), "at.pos", "at.lo", "at.hi")).alias("a"))
+    ask = cut(spark, ask.join(classes.select("id", "rep", F.col("key").alias("k")), "id").select("rep", "k", "a"), "asked")
+    bodies = docs.join(ask, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "a")
+    open_rows = cut(spark, take_bodies(bodies, length), "bodies")
+    made = "h long, c long, runs array<int>, prints array<binary>, places array<int>"
 
     def refined(rows: DataFrame, names: bool) -> DataFrame:
-        dealt = rows.select(*cols).repartition(n_shuffle(spark), "h", "shard").sortWithinPartitions("h", "shard")
+        dealt = rows.repartition(n_shuffle(spark), "h", "shard").sortWithinPartitions("h", "shard")
         return clear_batches(dealt, 4000).mapInArrow(_refine_all(length, names), made)
 
-    plain = refined(open_rows.where("shards = 1"), False).select("cid", "runs")
-    hot = cut(spark, refined(open_rows.where("shards > 1"), True), "hot")
-    named = hot.select("cid", F.explode(F.arrays_zip("prints", "places")).alias("x")).select("cid", "x.*")
-    twice = named.groupBy("prints").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("prints")
-    across = named.join(twice, "prints").groupBy("cid").agg(F.flatten(F.collect_list(F.array("places", F.col("places") + 1))).alias("runs"))
-    # Identical contexts at two places: all their windows are repeated.
-    whole = distinct.where("c > 1").select("cid", F.array(F.lit(0), F.col("n")).alias("runs"))
-    hits = plain.union(hot.select("cid", "runs")).union(across).union(whole).where(F.size("runs") > 0).groupBy("cid").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    spans = members.join(hits, "cid").groupBy("key").agg(F.collect_list(F.struct("lo", "runs")).alias("hits"))
-    return classes.select("key", "n_bytes", "copies"), spans
+    plain = cut(spark, refined(open_rows.where("shard = 0"), False).select("h", "c", "runs"), "plain")
+    hot = cut(spark, refined(open_rows.where("shard > 0"), True), "hot")
+    forget(spark, open_rows, ask)
+    named = hot.select("h", "c", F.explode(F.arrays_zip("prints", "places")).alias("x")).select("h", "c", "x.*")
+    twice = named.groupBy("prints").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("prints")
+    across = named.join(twice, "prints").groupBy("h", "c").agg(F.flatten(F.collect_list(F.array("places", F.col("places") + 1))).alias("runs"))
+    # A context at two places: all its windows are repeated.
+    whole = contexts.where("n > 1").select("h", "c", F.array(F.lit(0), F.col("at.hi") - F.col("at.lo") + 1).alias("runs"))
+    hits = plain.union(hot.select("h", "c", "runs")).union(across).union(whole).where(F.size("runs") > 0)
+    hits = cut(spark, hits.groupBy("h", "c").agg(F.flatten(F.collect_list("runs")).alias("runs")), "hits")
+    spans = members.join(hits, ["h", "c"]).groupBy("id").agg(F.collect_list(F.struct("lo", "runs")).alias("hits"))
+    spans = cut(spark, spans.join(classes.select("id", "key"), "id").select("key", "hits"), "spans")
+    forget(spark, members, contexts, plain, hot, hits)
+    return classes.select("key", "copies"), spans
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200) -> DataFrame:
@@ -300,7 +314,6 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200) -> D
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     d = d.withColumn("key", F.unhex(F.md5("text")))
     classes, hits = repeated_spans(spark, d, length)
-    hits = cut(spark, hits, "spans")
     copied = classes.where("copies > 1").select("key", F.lit(True).alias("copied"))
     extra = hits.join(copied, "key", "full_outer").select("key", F.when(F.col("copied"), F.lit(None)).otherwise(F.col("hits")).alias("hits"), F.coalesce("copied", F.lit(False)).alias("copied"))
     rows = d.join(extra, "key", "left").select("doc_id", "text", "hits", F.coalesce("copied", F.lit(False)).alias("copied"))
