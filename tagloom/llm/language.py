@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import WS, clear_batches, crc_mod, mix, table, texts
 
 ORDER = 5
+MAX_LANGUAGES = 1000  # of the most common languages; each is one column of the models
 _START, _END = 0xFFFFFF, 0xFFFFFE
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -183,9 +184,13 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, per_language: int =
     of the least hashes of doc_id. A tenth of them are held back for calibration. None without such documents.
     """
     rows = docs.where(F.coalesce(train, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), per_language / F.col("count")))
+    # One number for each language; the rows themselves are thinned where they are read.
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count")).limit(MAX_LANGUAGES).collect()}
+    if not sizes:
+        return None
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
     u = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    sample = rows.join(sizes.select("lang", "share"), "lang").withColumn("u", u).where("u < share")
+    sample = rows.withColumn("share", F.try_element_at(share, F.col("lang"))).withColumn("u", u).where("u < share")
     fitted = sample.where("u < 0.9 * share")
     word = F.explode(F.split(F.lower("text"), WS, -1)).alias("w")
     counted = fitted.select("lang", word).withColumn("w", F.regexp_replace("w", "[^\\p{L}]", "")).where("w <> ''").groupBy("lang", "w").count()
