@@ -3,8 +3,9 @@
 The model is a byte-context trie kept as counts of (context, next byte) for contexts of 0 to ORDER bytes, counted
 over all training documents. A byte is coded in the longest context that was seen; a context's escape estimate is
 the number of its distinct bytes (method C), and bytes that a longer context offered are excluded from the shorter
-ones. Counts are never broadcast: each block of documents asks the model's buckets for its own words and contexts,
-so what is gathered grows with the input and stays bounded for each task.
+ones. Blocks of documents send their distinct grams and words to buckets, which merge the counts, and get back the
+code lengths and counts of what they sent: so what is gathered grows with the input, and each task stays bounded.
+Only the contexts of one byte and none, at most 65,792 counts, go to all tasks.
 """
 
 from __future__ import annotations
@@ -13,17 +14,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, crc_mod, cut, n_shuffle, table, texts
+from .common import WordHashes, crc_mod, cut, forget, n_shuffle, table, texts
 
 ORDER = 5
 EDGE = 0xFF  # never part of UTF-8: stands before the first byte and after the last
-_WORDS, _GRAMS, _ASK_WORDS, _ASK_CONTEXTS, _TOTALS = range(5)
+_WORDS, _GRAMS, _LOW, _TOTALS = range(4)
 #: A word key that no 64-bit word hash is likely to have: the end of a document.
 END = np.uint64(0x656E646F66646F63)
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = np.uint64(8)
+
+
+def pack(x: np.ndarray, sorted_keys: bool = False) -> bytes:
+    """Compressed bytes of an array; sorted keys as their differences."""
+    if sorted_keys and len(x):
+        x = np.concatenate([x[:1], x[1:] - x[:-1]])
+    return zstandard.ZstdCompressor(level=1).compress(x.tobytes())
+
+
+def unpack(b: bytes, dtype, sorted_keys: bool = False) -> np.ndarray:
+    x = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
+    return np.cumsum(x, dtype=dtype) if sorted_keys else x
 
 
 def merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,126 +66,135 @@ def grams(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], np.cumsum(size - ORDER) - (size - ORDER)
 
 
-def _tag(order: int) -> np.uint64:
-    return np.uint64((order + 1) << 56)
+def _mask(n_bytes: int) -> np.uint64:
+    return np.uint64((1 << 8 * n_bytes) - 1)
 
 
-def all_orders(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the longest grams to counts of all orders; a key has its order in the top byte."""
-    keys, counts = [code | _tag(ORDER)], [count]
-    for j in range(ORDER - 1, -1, -1):
-        code, count = merge(code & np.uint64((1 << 8 * (j + 1)) - 1), count)
-        keys.append(code | _tag(j))
-        counts.append(count)
-    return np.concatenate(keys), np.concatenate(counts)
+def _pieces(bodies: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    start, n = 0, 0
+    for i, x in enumerate(bodies):
+        if i > start and n + len(x) > limit:
+            yield start, i
+            start, n = i, 0
+        n += len(x)
+    if bodies:
+        yield start, len(bodies)
 
 
-def context_of(keys: np.ndarray) -> np.ndarray:
-    """A key without its last byte, order kept."""
-    return ((keys >> np.uint64(8)) & np.uint64((1 << 48) - 1)) | (keys & np.uint64(0xFF << 56))
+def _distinct(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return merge(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
 
 
-def contexts(code: np.ndarray) -> np.ndarray:
-    """Keys of the contexts of all orders that distinct longest grams can use."""
-    code = code >> np.uint64(8)
-    out = []
-    for j in range(ORDER, -1, -1):
-        code = np.unique(code & np.uint64((1 << 8 * j) - 1))
-        out.append(code | _tag(j))
-    return np.concatenate(out)
+def _contents(bodies: list[bytes], train: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Distinct words and longest grams of all texts, with their counts in the training texts."""
+    hashes, words, codes = WordHashes(), [], []
+    for is_train in (1, 0):
+        mine = [b for b, t in zip(bodies, train, strict=True) if t == is_train]
+        for i, j in _pieces(mine):
+            part = mine[i:j]
+            w, n = np.unique(np.concatenate([*(hashes.of(b.lower().split()) for b in part), np.full(len(part), END)]), return_counts=True)
+            words.append((w, n * is_train))
+            c, n = np.unique(grams(part)[0], return_counts=True)
+            codes.append((c, n * is_train))
+    return _distinct(words), _distinct(codes)
 
 
-def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys * _MUL) >> np.uint64(33)) % np.uint64(n)
+def _bucket(kind: int, keys: np.ndarray, n: int) -> np.ndarray:
+    """Words by their hash; grams by their context's last two bytes, so that a bucket has all contexts of two or more
+    bytes that its grams can fall back to."""
+    by = keys if kind == _WORDS else (keys >> _BYTE) & _mask(2)
+    return (((by + np.uint64(1)) * _MUL) >> np.uint64(33)) % np.uint64(n)
 
 
-def _split(kind: int, block: int, keys: np.ndarray, by: np.ndarray, counts: np.ndarray, n: int) -> Iterator[tuple]:
-    b = _bucket(by, n).astype(np.int64)
+def _split(kind: int, keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys, ascending)."""
+    b = _bucket(kind, keys, n).astype(np.int64)
     o = np.argsort(b, kind="stable")
     ends = np.searchsorted(b[o], np.arange(n + 1))
-    keys, counts = keys[o], counts[o]
     for k in range(n):
         if ends[k] < ends[k + 1]:
-            s = slice(ends[k], ends[k + 1])
-            yield k, kind, block, keys[s].tobytes(), counts[s].astype(np.int64).tobytes()
+            yield k, o[ends[k] : ends[k + 1]]
 
 
 ASKED = "bucket int, kind int, block int, keys binary, counts binary"
 _ASKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+
 def _ask(n: int):
     def run(t: pa.Table) -> pa.Table:
-        """Of one block: what its training documents count, and what its documents have to look up."""
-        hashes = WordHashes()
-        block, train = t.column("block")[0].as_py(), np.array(t.column("train").to_pylist(), bool)
-        rows, word_asks, context_asks = [], [], []
-        for is_train in (True, False):
-            docs = texts(t.column("text").combine_chunks().filter(pa.array(train == is_train)))
-            if not docs:
-                continue
-            words = np.concatenate([hashes.of(d.lower().split()) for d in docs] + [np.full(len(docs), END)])
-            words, wc = np.unique(words, return_counts=True)
-            code, cc = np.unique(grams(docs)[0], return_counts=True)
-            word_asks.append(words)
-            context_asks.append(contexts(code))
-            if is_train:
-                keys, counts = all_orders(code, cc)
-                rows += [*_split(_WORDS, block, words, words, wc, n), *_split(_GRAMS, block, keys, context_of(keys), counts, n)]
-        for kind, asks in ((_ASK_WORDS, word_asks), (_ASK_CONTEXTS, context_asks)):
-            keys = np.unique(np.concatenate(asks))
-            rows += _split(kind, block, keys, keys, np.zeros(len(keys), np.int64), n)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ASKED, strict=True)], schema=_ASKED)
+        """Of one block: its distinct words and grams, with what its training documents count of them."""
+        block, train = t.column("block")[0].as_py(), np.array(t.column("train").to_pylist(), np.int64)
+        rows = []
+        for kind, (keys, counts) in zip((_WORDS, _GRAMS), _contents(texts(t.column("text").combine_chunks()), train), strict=True):
+            for bucket, at in _split(kind, keys, n):
+                rows.append((bucket, kind, block, pack(keys[at], True), pack(counts[at].astype(np.uint32))))
+            if kind == _GRAMS:
+                low = np.bincount((keys & _mask(2)).astype(np.int64), counts, 1 << 16).astype(np.int64)
+                rows.append((-1, _LOW, block, b"", pack(low)))
+        return _rows(rows, _ASKED)
 
     return run
 
 
-def _join(rows: list, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    mine = [r for r in rows if r[0] == kind]
-    keys = np.concatenate([np.frombuffer(r[2], np.uint64) for r in mine] or [np.empty(0, np.uint64)])
-    return merge(keys, np.concatenate([np.frombuffer(r[3], np.int64) for r in mine] or [np.empty(0, np.int64)]))
+def _add_low(t: pa.Table) -> pa.Table:
+    low = sum(unpack(x, np.int64) for x in t.column("counts").to_pylist())
+    return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "counts": pa.array([pack(low)], pa.binary())})
 
 
-def _answer(t: pa.Table) -> pa.Table:
-    """Of one bucket: the model's part, handed to each block that asked for some of it; and the bucket's totals."""
-    rows = list(zip(*(t.column(c).to_pylist() for c in ("kind", "block", "keys", "counts")), strict=True))
-    words, wc = _join(rows, _WORDS)
-    codes, cc = _join(rows, _GRAMS)
-    ctx = context_of(codes)
-    out = [(-1, _TOTALS, b"", np.array([wc.sum(), len(words)], np.int64).tobytes())]
-    for kind, block, asked, _ in rows:
-        asked = np.frombuffer(asked, np.uint64)
-        if kind == _ASK_WORDS:
-            hit = np.isin(words, asked)
-            out.append((block, _WORDS, words[hit].tobytes(), wc[hit].tobytes()))
-        elif kind == _ASK_CONTEXTS:
-            hit = np.isin(ctx, asked)
-            out.append((block, _GRAMS, codes[hit].tobytes(), cc[hit].tobytes()))
-    schema = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+_ANSWERS = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("values", pa.binary())])
 
 
-class Model:
-    """The part of the trie that a block needs: sorted (context, byte) keys and their counts."""
+def _answer(low: np.ndarray):
+    def run(t: pa.Table) -> pa.Table:
+        """Of one bucket: the merged counts of its words, or the code lengths of its grams, for each block in its own order."""
+        out = []
+        for kind in (_WORDS, _GRAMS):
+            mine = [r for r in zip(*(t.column(c).to_pylist() for c in ("bucket", "kind", "block", "keys", "counts")), strict=True) if r[1] == kind]
+            asked = [(unpack(r[3], np.uint64, True), unpack(r[4], np.uint32).astype(np.int64)) for r in mine]
+            keys, counts = _distinct(asked)
+            if kind == _WORDS:
+                values = counts.astype(np.uint32)
+                out.append((-1, _TOTALS, -1, np.array([counts.sum(), (counts > 0).sum()], np.int64).tobytes()))
+            else:
+                seen = counts > 0
+                values = Model(keys[seen], counts[seen], low).log10(keys).astype(np.float32)
+            for r, (k, _) in zip(mine, asked, strict=True):
+                out.append((r[2], kind, r[0], pack(values[np.searchsorted(keys, k)])))
+        return _rows(out, _ANSWERS)
+
+    return run
+
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        keys, counts = merge(keys, counts)
-        self.order = []
+class Model:
+    """A part of the trie: training grams of the longest order with their counts, closed under falling back to contexts
+    of two bytes, and the counts of all pairs of bytes for the contexts of one byte and none."""
+
+    def __init__(self, code: np.ndarray, count: np.ndarray, low: np.ndarray):
+        self.order: list = [None] * (ORDER + 1)
+        pairs = np.flatnonzero(low).astype(np.uint64)
+        singles = low.reshape(256, 256).sum(axis=0)
+        levels = {1: (pairs, low[pairs.astype(np.int64)]), 0: (np.flatnonzero(singles).astype(np.uint64), singles[singles > 0])}
+        for j in range(ORDER, 1, -1):
+            code, count = merge(code & _mask(j + 1), count)
+            levels[j] = (code, count)
         for j in range(ORDER + 1):
-            mine = slice(*np.searchsorted(keys, [_tag(j), _tag(j + 1)]))
-            k, c = keys[mine] & np.uint64((1 << 56) - 1), counts[mine].astype(np.float64)
-            ctx = k >> np.uint64(8)
+            k, c = levels[j][0], levels[j][1].astype(np.float64)
+            ctx = k >> _BYTE
             at = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(k) else np.empty(0, np.int64)
             n = np.add.reduceat(c, at) if len(at) else np.empty(0)
             d = np.diff(np.append(at, len(k))).astype(np.float64)
+            x = np.zeros(len(at))
             if j and len(k):
                 # What the context's own bytes weigh one order down, to be excluded there.
-                low, low_c = self.order[-1][0], self.order[-1][1]
-                i = np.searchsorted(low, k & np.uint64((1 << 8 * j) - 1))
-                x = np.add.reduceat(low_c[i], at)
-            else:
-                x = np.zeros(len(at))
-            self.order.append((k, c, ctx[at], n, d, x))
+                below, weight = self.order[j - 1][:2]
+                x = np.add.reduceat(weight[np.searchsorted(below, k & _mask(j))], at)
+            self.order[j] = (k, c, ctx[at], n, d, x)
 
     def log10(self, code: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's last byte after its context."""
@@ -178,11 +202,11 @@ class Model:
         out_n, out_d = np.zeros(len(code)), np.zeros(len(code))
         for j in range(ORDER, -1, -1):
             k, c, ctx, n, d, x = self.order[j]
-            mine = code[left] & np.uint64((1 << 8 * (j + 1)) - 1)
+            mine = code[left] & _mask(j + 1)
             if not len(ctx):
                 continue
-            at = np.minimum(np.searchsorted(ctx, mine >> np.uint64(8)), len(ctx) - 1)
-            seen = ctx[at] == mine >> np.uint64(8)
+            at = np.minimum(np.searchsorted(ctx, mine >> _BYTE), len(ctx) - 1)
+            seen = ctx[at] == mine >> _BYTE
             total, kinds = np.where(seen, n[at] - out_n[left], 0), np.where(seen, d[at] - out_d[left], 0)
             e = np.minimum(np.searchsorted(k, mine), len(k) - 1)
             hit = seen & (k[e] == mine)
@@ -211,37 +235,39 @@ def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _score(total: int, distinct: int):
+def _score(total: int, distinct: int, n: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = list(zip(*(answers.column(c).to_pylist() for c in ("kind", "block", "keys", "counts")), strict=True))
-        words, wc = _join(rows, _WORDS)
-        model = Model(*_join(rows, _GRAMS))
+        if not docs.num_rows:
+            return _SCORED.empty_table()
+        ids, train, bodies = docs.column("doc_id").to_pylist(), np.array(docs.column("train").to_pylist(), np.int64), texts(docs.column("text").combine_chunks())
+        (words, _), (codes, _) = _contents(bodies, train)
+        got = {(k, b): v for k, b, v in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "values")), strict=True)}
+        counts, lengths = np.zeros(len(words)), np.zeros(len(codes))
+        for kind, keys, out, dtype in ((_WORDS, words, counts, np.uint32), (_GRAMS, codes, lengths, np.float32)):
+            for bucket, at in _split(kind, keys, n):
+                out[at] = unpack(got[kind, bucket], dtype)
         hashes, floor = WordHashes(), np.log10(1 / (total + distinct + 1))
-        ids, train, bodies = docs.column("doc_id").to_pylist(), docs.column("train").to_pylist(), texts(docs.column("text").combine_chunks())
-        parts, start, n = [], 0, 0
-        for i, b in enumerate(bodies):  # pieces of about 8 MB
-            if i > start and n + len(b) > 8 << 20:
-                parts.append((start, i))
-                start, n = i, 0
-            n += len(b)
-        if bodies:
-            parts.append((start, len(bodies)))
+        word_score, word_known = np.log10(counts + 1) + floor, (counts > 0).astype(np.float64)
         out = []
-        for lo, hi in parts:
+        for lo, hi in _pieces(bodies):
             part = bodies[lo:hi]
             lists = [np.append(hashes.of(b.lower().split()), END) for b in part]
-            flat, at = np.concatenate(lists), np.cumsum([0] + [len(x) for x in lists[:-1]])
-            u, inv = np.unique(flat, return_inverse=True)
-            c = np.zeros(len(u))
-            if len(words):
-                e = np.minimum(np.searchsorted(words, u), len(words) - 1)
-                c = np.where(words[e] == u, wc[e], 0).astype(np.float64)
-            base = np.add.reduceat((np.log10(c + 1) + floor)[inv], at)
-            known = np.add.reduceat((c > 0).astype(np.int64)[inv], at)
-            code, first = grams(part)
-            u = np.unique(code)
-            score = np.add.reduceat(lookup(u, model.log10(u), code), first)
-            out.append(pa.record_batch([pa.array(ids[lo:hi], pa.int64()), pa.array([not x for x in train[lo:hi]]), pa.array([len(x) for x in lists], pa.int64()), pa.array(known), pa.array(base), pa.array(score)], schema=_SCORED))
+            at = lookup(words, np.arange(len(words)), np.concatenate(lists))
+            first = np.cumsum([0] + [len(x) for x in lists[:-1]])
+            code, start = grams(part)
+            out.append(
+                pa.record_batch(
+                    [
+                        pa.array(ids[lo:hi], pa.int64()),
+                        pa.array(train[lo:hi] == 0),
+                        pa.array([len(x) for x in lists], pa.int64()),
+                        pa.array(np.add.reduceat(word_known[at], first).astype(np.int64)),
+                        pa.array(np.add.reduceat(word_score[at], first)),
+                        pa.array(np.add.reduceat(lookup(codes, lengths, code), start)),
+                    ],
+                    schema=_SCORED,
+                )
+            )
         return pa.Table.from_batches(out, _SCORED)
 
     return run
@@ -257,14 +283,21 @@ def score(spark: SparkSession, docs: DataFrame, train: F.Column, block_bytes: in
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(train, F.lit(False)).alias("train"))
     n_bytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(n_shuffle(spark), -(-n_bytes // block_bytes))
+    n, n_blocks = n_shuffle(spark), max(n_shuffle(spark), -(-n_bytes // block_bytes))
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
-    asked = d.groupBy("block").applyInArrow(_ask(n_shuffle(spark)), ASKED)
-    answers = cut(spark, asked.groupBy("bucket").applyInArrow(_answer, "block int, kind int, keys binary, counts binary"), "answers")
-    # One row of totals for each bucket.
-    parts = [np.frombuffer(r["counts"], np.int64) for r in answers.where(F.col("kind") == _TOTALS).select("counts").collect()]
+    asked = cut(spark, d.groupBy("block").applyInArrow(_ask(n), ASKED), "asked")
+    low = asked.where(F.col("kind") == _LOW).withColumn("part", (F.col("block") % 256).cast("int"))
+    for width in (256, 1):  # sums of sums, so that no task adds up more than a few hundred
+        low = low.withColumn("part", (F.col("part") % width).cast("int")).groupBy("part").applyInArrow(_add_low, "part int, counts binary")
+    found = low.select("counts").collect()
+    pairs = unpack(found[0][0], np.int64) if found else np.zeros(1 << 16, np.int64)
+    answers = asked.where(F.col("bucket") >= 0).groupBy("bucket").applyInArrow(_answer(pairs), "block int, kind int, bucket int, values binary")
+    answers = cut(spark, answers, "answers")
+    forget(spark, asked)
+    # One row of two numbers for each bucket.
+    parts = [np.frombuffer(r["values"], np.int64) for r in answers.where(F.col("kind") == _TOTALS).select("values").collect()]
     total, distinct = (int(x) for x in np.sum(parts, axis=0)) if parts else (0, 0)
-    scored = d.groupBy("block").cogroup(answers.where(F.col("kind") != _TOTALS).groupBy("block")).applyInArrow(_score(total, distinct), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = d.groupBy("block").cogroup(answers.where(F.col("kind") != _TOTALS).groupBy("block")).applyInArrow(_score(total, distinct, n), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
