@@ -126,7 +126,7 @@ def document_frequencies(spark: SparkSession, docs: DataFrame, vocabulary: dict[
         for batch in batches:
             for t in texts(batch.column("text")):
                 x = terms.of(words_of(t))
-                np.add.at(count, np.unique(x[x >= 0]), 1)
+                count[np.unique(x[x >= 0])] += 1
         at = np.flatnonzero(count)
         yield pa.record_batch([pa.array(at), pa.array(count[at])], ["term", "n"])
 
@@ -283,10 +283,14 @@ def _search(spark: SparkSession, docs: DataFrame, items: list[tuple[int, bytes]]
                     hi = min(len(new), lo + 4096)
                     x = slice(new[lo], new[hi] if hi < len(new) else len(at))
                     near = _vectors(new[lo:hi] - new[lo], at[x], weight, space) @ queries.T
-                    for r, q in np.argwhere(near >= s.cosine):
-                        doc, win = int(rows[lo + r, 0]), int(rows[lo + r, 1])
+                    around, longest = -1, max(len(w) for _, w in worded)
+                    for r, q in zip(*(x.tolist() for x in np.nonzero(near >= s.cosine)), strict=True):
                         item_id, item = worded[q]
-                        start = win * s.stride
+                        if r != around:
+                            around, doc, start = r, int(rows[lo + r, 0]), int(rows[lo + r, 1]) * s.stride
+                            nearby = set(words[doc][max(0, start - longest) : start + s.window + longest])
+                        if sum(map(nearby.__contains__, item)) < s.reworded * len(item):  # no order of words can reach it
+                            continue
                         body = words[doc][max(0, start - len(item)) : start + s.window + len(item)]
                         share = check_pair(item, body, s)
                         if share > hits[i + doc].get(item_id, 0.0):
