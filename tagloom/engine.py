@@ -93,12 +93,13 @@ class Engine:
         done = lambda p: fs.exists(jvm.org.apache.hadoop.fs.Path(p, "complete"))
         return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v") and done(s.getPath()))
 
-    def save(self, state: ch.State) -> int:
-        """Store a state as the next version; it counts once its marker is written."""
+    def save(self, state: ch.State, stored: set[str] = frozenset()) -> int:
+        """Store a state as the next version, but for parts that are there already; it counts once its marker is written."""
         version = (self._versions() or [0])[-1] + 1
         e = state.elements
         for name, df in {"nodes": e.nodes, "ways": e.ways, "relations": e.relations, "coords": e.coords, **{f"table_{n}": t for n, t in state.tables.items()}}.items():
-            df.write.mode("overwrite").parquet(self._version_path(version, name))
+            if name not in stored:
+                df.write.mode("overwrite").parquet(self._version_path(version, name))
         self.spark.createDataFrame([(state.last_seq,)], "last_seq bigint").coalesce(1).write.mode("overwrite").parquet(self._version_path(version, "complete"))
         return version
 
@@ -119,8 +120,15 @@ class Engine:
         old = self.load()
         if ch.after_sequence(changes, old.last_seq, force).isEmpty():
             return self._versions()[-1]
-        new, ids = ch.apply_changes(self.builder, old, changes, force)
-        version = self.save(new)
+        following, stored = self._versions()[-1] + 1, set()
+
+        def cut(name: str, df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(self._version_path(following, name))
+            stored.add(name)
+            return self.spark.read.schema(df.schema).parquet(self._version_path(following, name))
+
+        new, ids = ch.apply_changes(self.builder, old, changes, force, cut=cut)
+        version = self.save(new, stored)
         if self.tiles_dir:
             stored = self.load(version)
             tiles = ch.stale_tiles(self.builder, old.elements, ids, self.tiles_zoom).union(ch.stale_tiles(self.builder, stored.elements, ids, self.tiles_zoom))

@@ -107,8 +107,15 @@ def line_tiles(points: Column, zoom: Column) -> Column:
     return F.when(F.size(points) == 0, _none()).when(F.size(points) == 1, point_tiles(one["x"], one["y"], zoom)).otherwise(F.array_distinct(walked))
 
 
+def _let(value: Column, f) -> Column:
+    """f of a value that is computed once: the name is bound by a lambda, so the expression does not grow."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def geometry_tiles(points: Column, closed: Column, max_zoom: int) -> Column:
     """Stale tiles of a line or an area (x = lon, y = lat): the box or the line at the highest zoom that has few tiles."""
-    b = box(points)
-    z = zoom_for(b, closed, max_zoom)
-    return F.when((F.size(points) == 0) | (z == 0), _none()).when(closed, box_tiles(b, z)).otherwise(line_tiles(points, z))
+
+    def at(b: Column, z: Column) -> Column:
+        return F.when((F.size(points) == 0) | (z == 0), _none()).when(closed, box_tiles(b, z)).otherwise(line_tiles(points, z))
+
+    return _let(box(points), lambda b: _let(zoom_for(b, closed, max_zoom), lambda z: at(b, z)))

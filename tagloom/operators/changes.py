@@ -7,6 +7,7 @@ result is the same as building everything anew.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
@@ -145,11 +146,21 @@ def initial_state(builder: TableBuilder, elements: Elements) -> State:
     return State(elements, replace(builder, origin=True).build(elements))
 
 
-def apply_changes(builder: TableBuilder, state: State, changes: DataFrame, force: bool = False, quantized: bool = False, deletes_cascade: bool = True) -> tuple[State, dict[str, DataFrame]]:
-    """The state after changes, and the affected ids by kind. Sequences up to the state's last are skipped."""
-    c = last_changes(after_sequence(changes, state.last_seq, force))
-    new = update_elements(state.elements, c, builder.mapping, builder.limit, quantized)
-    ids = affected(state.elements, new, c, deletes_cascade)
+def keep(name: str, df: DataFrame) -> DataFrame:
+    """Hold a step's result in the executors' memory and disk, for states that are not stored."""
+    return df.persist()
+
+
+def apply_changes(builder: TableBuilder, state: State, changes: DataFrame, force: bool = False, quantized: bool = False, deletes_cascade: bool = True, cut: Callable[[str, DataFrame], DataFrame] = keep) -> tuple[State, dict[str, DataFrame]]:
+    """The state after changes, and the affected ids by kind. Sequences up to the state's last are skipped.
+
+    cut(name, df) holds what later steps read several times: the changes, the new element tables and the ids.
+    """
+    c = cut("changes", last_changes(after_sequence(changes, state.last_seq, force)))
+    e = update_elements(state.elements, c, builder.mapping, builder.limit, quantized)
+    coords, nodes = cut("coords", e.coords), cut("nodes", e.nodes)
+    new = Elements(nodes, cut("ways", e.ways), cut("relations", e.relations), coords)
+    ids = {kind: cut(f"ids_{kind}", d) for kind, d in affected(state.elements, new, c, deletes_cascade).items()}
     fresh = build_rows(builder, new, ids)
     tables = {name: replace_rows(df, fresh[name], ids) for name, df in state.tables.items()}
     seq = changes.agg(F.max("seq")).first()[0]
