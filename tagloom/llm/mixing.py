@@ -70,7 +70,9 @@ def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] |
         return docs.withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
     n, total = quotas(sources, weights, period), [c for _, c in sources]
     key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("text")))
-    ranked = rank_within(docs, ["source"], key, sum(total)).withColumnRenamed("rank", "source_rank")
+    # The row travels as one value, so its columns cannot clash with those made here.
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "source", key.alias("_key"))
+    ranked = rank_within(packed, ["source"], F.col("_key"), sum(total), "source_rank")
     # Bounded: MAX_SOURCES rows, and the slots of one period.
     names = spark.createDataFrame([(s, i, q) for i, ((s, _), q) in enumerate(zip(sources, n, strict=True))], "_s string, source_no int, quota int")
     ranked = ranked.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -82,7 +84,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] |
         F.zip_with(F.col("before"), limits, lambda b, x: F.least(x["c"], (F.col("_round") * x["q"] + b) * block_rows)), F.lit(0).cast("long"), lambda a, x: a + x
     )
     return placed.select(
-        *docs.columns,
+        "_row.*",
         F.col("source_rank").cast("long"),
         F.col("block").cast("long"),
         (F.col("_round") * sum(n) + F.col("_slot")).cast("long").alias("slot"),

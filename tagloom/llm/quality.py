@@ -140,7 +140,8 @@ def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     The verdict passes through a generator, so that the filter is not pushed into the projection, where it would
     compute each of its measures again for each rule.
     """
-    return judge(docs, rules).select(*docs.columns, F.explode(F.array("kept")).alias("_kept")).where("_kept").drop("_kept")
+    packed = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return judge(packed, rules).select("_row", F.explode(F.array("kept")).alias("_kept")).where("_kept").select("_row.*")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

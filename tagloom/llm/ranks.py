@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_within(df: DataFrame, group: list[str], order: Column, rows: int, per_bucket: int = 2048) -> DataFrame:
-    """Add `rank` (0-based) of each row among the rows of its group, ordered by the text `order`, a hex digest.
+def rank_within(df: DataFrame, group: list[str], order: Column, rows: int, name: str = "rank", per_bucket: int = 2048) -> DataFrame:
+    """Add `name` (0-based) of each row among the rows of its group, ordered by the text `order`, a hex digest.
 
     `rows` is the number of rows of df, or a bound. Rows are numbered within (group, first hex digits) and the
     numbers shifted by the sizes of the buckets before, summed in two steps of digits. Equal digests are equal
@@ -35,4 +35,4 @@ def rank_within(df: DataFrame, group: list[str], order: Column, rows: int, per_b
 
     offsets = join(sizes.drop("_c"), upper, "_u").select(*group, "_b", (F.col("_x") + F.col("_y")).alias("_z"))
     numbered = df.withColumn("_n", F.row_number().over(Window.partitionBy(*same, F.col("_b")).orderBy("_o")))
-    return join(numbered, offsets, "_b").withColumn("rank", F.col("_z") + F.col("_n") - 1).drop("_o", "_b", "_n", "_z")
+    return join(numbered, offsets, "_b").withColumn(name, F.col("_z") + F.col("_n") - 1).drop("_o", "_b", "_n", "_z")
