@@ -269,9 +269,11 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows
     forget(spark, found)
     each = classes.select("id", F.explode(F.arrays_zip("h", "c", "pos", "lo", "hi")).alias("a")).select("id", "a.*")
     shared = classes.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
+    shared = cut(spark, shared, "shared")  # apart from the join, so that the join can split a hot anchor
     members = cut(spark, each.join(shared, "h"), "members")
     # One representative for each distinct context. Anchors with one context have nothing to compare; those with very
     # many are cut into shards.
+    forget(spark, shared)
     contexts = cut(spark, members.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos", "lo", "hi")).alias("at")), "contexts")
     sizes = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shards = F.ceil(F.col("rows") / shard_rows)
