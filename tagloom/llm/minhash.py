@@ -88,14 +88,14 @@ def sketch(docs: DataFrame, bands: int, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids, words = batch.column("doc_id"), [words_of(t) for t in texts(batch.column("text"))]
+            ids, bodies = batch.column("doc_id"), texts(batch.column("text"))
             done = 0
-            while done < len(words):  # pieces of a bounded number of words
+            while done < len(bodies):  # pieces of a bounded number of bytes
                 end, n = done, 0
-                while end < len(words) and (end == done or n + len(words[end]) < 1_000_000):
-                    n += len(words[end])
+                while end < len(bodies) and (end == done or n + len(bodies[end]) < 4 << 20):
+                    n += len(bodies[end])
                     end += 1
-                part = words[done:end]
+                part = [words_of(t) for t in bodies[done:end]]
                 sets = [shingle_set(w, hashes, size) for w in part]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 lists: list = [None] * len(part)
@@ -198,6 +198,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
     typical = banded.groupBy("key").agg(F.sum("c").alias("score"))
     scored = banded.join(typical, "key")
     pivot = scored.groupBy("bh").agg(F.max_by(F.struct(F.col("key").alias("p"), F.col("n").alias("pn")), F.struct("score", "key")).alias("x")).select("bh", "x.p", "x.pn")
+    pivot = cut(spark, pivot, "pivot")  # apart from the join, so that the join can split a hot bucket
     pairs = banded.join(pivot, "bh").where(F.col("key") != F.col("p")).where(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
     pairs = cut(spark, pairs.select(F.col("key").alias("a"), F.col("p").alias("b")).distinct(), "pairs")
 
