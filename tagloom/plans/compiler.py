@@ -184,8 +184,6 @@ def first_match(tags: Column, rules: tuple[Rule, ...]) -> Column:
     Neighbouring rules of one key are one branch, so the expression grows with the number of keys.
     """
     out: Column | None = None
-    for r in sorted(rules, key=lambda r: r.order):
-        pass
     groups: list[tuple[str, list[str]]] = []
     for r in sorted(rules, key=lambda r: r.order):
         if groups and groups[-1][0] == r.key and (ANY in groups[-1][1]) == (r.value == ANY):

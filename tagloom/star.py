@@ -655,3 +655,167 @@ def _(spark, d):
 
     n = nodes(spark, d).select("id", F.col("tags")["type"].alias("kind"))
     return merge_last(n, n.where("id % 4 = 0").withColumn("kind", F.lit("new")))
+
+
+# --- geometry library (needs a Java compiler on the driver) ---
+
+
+def _kernel(spark: SparkSession):
+    from .functions import kernel
+
+    kernel.register(spark)
+    return kernel
+
+
+def _shapes(spark: SparkSession, d: str, make: str) -> DataFrame:
+    k = _kernel(spark)
+    w = resolve.fill_ways(ways(spark, d), nodes(spark, d))
+    xs, ys = F.transform("points", lambda p: geometry.project_x(p["x"])), F.transform("points", lambda p: geometry.project_y(p["y"]))
+    return w.select("id", "refs", "tags", getattr(k, make)(xs, ys).alias("geometry")).where("geometry is not null")
+
+
+@query("g6_linestring", V_MERC + _LENGTH + " select id, 'LineString' as kind, round(sum(coalesce(s, 0))/1000, 3) as km from seg group by id having count(*) > 1")
+def _(spark, d):
+    k = _kernel(spark)
+    return _shapes(spark, d, "line").select("id", k.kind(F.col("geometry")).alias("kind"), F.round(k.size(F.col("geometry")) / 1000, 3).alias("km"))
+
+
+_TRIANGLE = V_MERC + """, o as (select *, first_value(x) over w as ox, first_value(y) over w as oy, lag(x) over w as bx, lag(y) over w as by_ from kept window w as (partition by id order by pos)),
+ t as (select id, abs(sum(coalesce((bx-ox)*(y-oy) - (x-ox)*(by_-oy), 0)))/2 as area, min(y) as a, max(y) as z from o join ways using (id) where len(refs) = 4 and refs[1] = refs[4] group by id having count(*) = 4)"""
+
+
+@query("g7_polygon_area", _TRIANGLE + " select id, true as valid, round(area/1e6, 1) as km2 from t where area > 1e6")
+def _(spark, d):
+    """Closed ways of three corners, as these cannot cross themselves."""
+    k = _kernel(spark)
+    t = _shapes(spark, d, "polygon").where("size(refs) = 4").withColumn("area", k.area(F.col("geometry"))).where("area > 1e6")
+    return t.select("id", k.call("ST_IsValid", "geometry").alias("valid"), F.round(F.col("area") / 1e6, 1).alias("km2"))
+
+
+@query("c15_c17_area_columns", _TRIANGLE + " select id, round(log10(area), 4) as area, round(log10(area * power(cos(atan(exp((a+(z-a)/2)/20037508.342789244*pi()))*2.0-pi()/2), 2)), 4) as webmerc_area from t where area > 1e6")
+def _(spark, d):
+    m = Mapping.parse("tables: {t: {type: polygon, columns: [{name: area, type: area}, {name: webmerc_area, type: webmerc_area}]}}")
+    row = Row(F.col("tags"), F.lit(""), F.lit(""), F.col("id"), F.col("geometry"))
+    t = _shapes(spark, d, "polygon").where("size(refs) = 4").select("id", *[columns.build(c, row) for c in m.tables["t"].columns])
+    return t.where("area > 1e6").select("id", *[F.round(F.log10(F.col(c).cast("double")), 4).alias(c) for c in ("area", "webmerc_area")])
+
+
+def _rectangles():
+    """Two features: a box, and one to its right that overlaps it."""
+    from .sources.geojson import Feature, polygon_wkb
+
+    ring = lambda x0, y0, x1, y1: ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    found = [Feature((ring(-60.0, -40.0, 40.0, 40.0),), {"name": "west"}), Feature((ring(20.0, -20.0, 120.0, 60.0),), {"name": "east"})]
+    wkbs = F.array(*[F.lit(bytearray(polygon_wkb(f.rings))) for f in found])
+    return found, lambda path: ("star-rectangles", wkbs, [f.properties for f in found])
+
+
+@query("c25_c26_geojson_columns", V_NODES + """ select id, (lon between -60 and 40 and lat between -40 and 40) or (lon between 20 and 120 and lat between -20 and 60) as hit,
+ case when lon between -60 and 40 and lat between -40 and 40 then 'west' when lon between 20 and 120 and lat between -20 and 60 then 'east' end as name from nodes""")
+def _(spark, d):
+    k = _kernel(spark)
+    m = Mapping.parse("tables: {t: {type: point, columns: [{name: hit, type: geojson_intersects, args: {geojson: x}}, {name: name, type: geojson_intersects_feature, args: {geojson: x, property: name}}]}}")
+    n = nodes(spark, d).withColumn("geometry", k.point(F.col("lon"), F.col("lat")))
+    row = Row(F.col("tags"), F.lit(""), F.lit(""), F.col("id"), F.col("geometry"), features=_rectangles()[1])
+    return n.select("id", *[columns.build(c, row) for c in m.tables["t"].columns])
+
+
+@query("g14_clip_points", V_NODES + " select id from nodes where lon between -60 and 40 and lat between -40 and 40")
+def _(spark, d):
+    from .operators.limit import Limit
+
+    k = _kernel(spark)
+    limit = Limit.of(spark, _rectangles()[0][:1], 4326)
+    n = nodes(spark, d).withColumn("geometry", k.point(F.col("lon"), F.col("lat")))
+    return n.where(F.size(limit.parts(F.col("geometry"))) > 0).select("id")
+
+
+_SEGMENT = """, ends as (select id, first(lon order by pos) as x1, first(lat order by pos) as y1, last(lon order by pos) as x2, last(lat order by pos) as y2 from places where pos < 2 and n >= 2 group by id having count(*) = 2),
+ box as (select id, least(x1, x2) as a, greatest(x1, x2) as b, least(y1, y2) as c, greatest(y1, y2) as e from ends)"""
+
+
+@query("g14_clip_boxes", V_PLACES + _SEGMENT + """ select id, round((least(b, 40) - greatest(a, -60)) * (least(e, 40) - greatest(c, -40)), 6) as area from box
+ where b - a > 0.05 and e - c > 0.05 and least(b, 40) - greatest(a, -60) > 0.01 and least(e, 40) - greatest(c, -40) > 0.01""")
+def _(spark, d):
+    """The boxes around the first two places of ways, clipped to a box."""
+    from .operators.limit import Limit
+
+    k = _kernel(spark)
+    limit = Limit.of(spark, _rectangles()[0][:1], 4326)
+    two = resolve.fill_ways(ways(spark, d).where("size(refs) >= 2").withColumn("refs", F.slice("refs", 1, 2)), nodes(spark, d))
+    b = geometry.bounds(F.col("points"))
+    two = two.select("id", *[b[c].alias(c) for c in ("minx", "miny", "maxx", "maxy")]).where("maxx - minx > 0.05 and maxy - miny > 0.05")
+    two = two.where("least(maxx, 40) - greatest(minx, -60) > 0.01 and least(maxy, 40) - greatest(miny, -40) > 0.01")
+    ring = k.polygon(F.array("minx", "maxx", "maxx", "minx", "minx"), F.array("miny", "miny", "maxy", "maxy", "miny"))
+    parts = two.select("id", ring.alias("g")).select("id", F.explode(limit.parts(F.col("g"))).alias("p"))
+    return parts.groupBy("id").agg(F.round(F.sum(k.area(F.col("p"))), 6).alias("area"))
+
+
+@query("p10_near_limit", V_NODES + " select id from nodes where lon between -60 and 40 and lat between -40 and 40")
+def _(spark, d):
+    from .operators.limit import Limit
+
+    _kernel(spark)
+    # Places are multiples of a tenth, so a buffer of a hundredth adds none.
+    return Limit.of(spark, _rectangles()[0][:1], 4326, 0.01).near(nodes(spark, d)).select("id")
+
+
+@query("g8_repaired_polygons")
+def _(spark, d):
+    k = _kernel(spark)
+    g = F.col("geometry")
+    return _shapes(spark, d, "polygon").select("id", k.kind(g).alias("kind"), k.call("ST_IsValid", g).alias("valid"), F.round(k.area(g) / 1e6, 1).alias("km2"))
+
+
+def _engine_mapping() -> Mapping:
+    return Mapping.parse("""
+tables:
+  lanes: {type: linestring, mapping: {highway: [1-URGENT, 2-HIGH]}, columns: [{name: osm_id, type: id}, {name: type, type: mapping_value}, {name: geometry, type: geometry}]}
+  blocks: {type: polygon, mapping: {status: [F, P], segment: [__any__]}, columns: [{name: osm_id, type: id}, {name: type, type: mapping_value}, {name: geometry, type: validated_geometry}, {name: area, type: area}]}
+  parts: {type: point, mapping: {type: [__any__]}, columns: [{name: osm_id, type: id}, {name: geometry, type: geometry}]}
+generalized_tables:
+  blocks_gen: {source: blocks, tolerance: 50000.0, sql_filter: 'ST_Area("geometry")>1e12'}
+""")
+
+
+def _tables(spark: SparkSession, d: str):
+    from .operators.tables import TableBuilder
+
+    builder = TableBuilder(spark, _engine_mapping())
+    return builder, Elements(nodes(spark, d), ways(spark, d), relations(spark, d))
+
+
+@query("w3_w4_multipolygon_rows")
+def _(spark, d):
+    b, e = _tables(spark, d)
+    r = b.polygon_relations(e)
+    k = _kernel(spark)
+    return r.select("id", k.kind(F.col("geometry")).alias("kind"), k.call("ST_IsValid", "geometry").alias("valid"), F.round(k.area(F.col("geometry")) / 1e6, 1).alias("km2"))
+
+
+@query("g17_generalized_table")
+def _(spark, d):
+    from .operators.generalize import generalize
+
+    b, e = _tables(spark, d)
+    k = _kernel(spark)
+    tables = {"lanes": None, "parts": None, "blocks": b.way_rows(e)["blocks"][0]}
+    g = generalize(b.mapping, tables)["blocks_gen"]
+    return g.select("osm_id", "type", k.kind(F.col("geometry")).alias("kind"), F.round(k.area(F.col("geometry")) / 1e6, 0).alias("km2"))
+
+
+@query("k13_ewkb_hex")
+def _(spark, d):
+    k = _kernel(spark)
+    return nodes(spark, d).select("id", geometry.ewkb_hex(k.point(F.col("lon"), F.col("lat")), 4326).alias("ewkb"))
+
+
+@query("w2_engine_rows")
+def _(spark, d):
+    b, e = _tables(spark, d)
+    k = _kernel(spark)
+    return b.way_rows(e)["lanes"][0].select("osm_id", "type", F.round(k.size(F.col("geometry")) / 1000, 3).alias("km"))
+
+
+SQL["w2_engine_rows"] = "with " + V_MERC + _LENGTH + """, len_ as (select id, round(sum(coalesce(s, 0))/1000, 3) as km from seg group by id having count(*) > 1)
+ select w.id as osm_id, highway as type, km from ways w join len_ using (id) where highway in ('1-URGENT','2-HIGH') and not (len(refs) >= 4 and refs[1] = refs[len(refs)] and coalesce(area,'')='yes')"""
