@@ -18,6 +18,10 @@ STOP_WORDS = {
 }
 
 
+#: Upper-case letters of these languages: A to Z and the Latin-1 ones.
+UPPER = "".join(map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
+
+
 @dataclass(frozen=True)
 class Rule:
     """A document breaks the rule when num < low * den or num > high * den."""
@@ -84,7 +88,7 @@ def measures(docs: DataFrame, window: int = 8) -> DataFrame:
             F.transform(F.sequence(F.lit(1), n - window + 1), lambda i: F.xxhash64(F.slice("_w", i, window))),
         ),
     )
-    bare = F.regexp_replace("_t", WS, "")
+    bare, shorter = F.regexp_replace("_t", WS, ""), F.greatest(n - 1, F.lit(0))
     stops = sorted({w for v in STOP_WORDS.values() for w in v.split()})
     count = lambda chars: F.length("_t") - F.length(F.translate("_t", chars, ""))
     return d.select(
@@ -101,9 +105,9 @@ def measures(docs: DataFrame, window: int = 8) -> DataFrame:
         .alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.filter("_w", lambda w: F.lower(w).isin(*stops))).cast("long").alias("n_stop_words"),
-        F.length(F.regexp_replace("_t", "[^A-ZÀ-ÖØ-Þ]", "")).cast("long").alias("n_upper"),
+        count(UPPER).cast("long").alias("n_upper"),
         count("!").cast("long").alias("n_exclaim"),
-        F.size(F.filter(F.arrays_zip(F.slice(F.col("_w"), 1, F.greatest(n - 1, F.lit(0))).alias("a"), F.expr("slice(_w, 2, greatest(size(_w) - 1, 0))").alias("b")), lambda p: p["a"] == p["b"]))
+        F.size(F.array_remove(F.zip_with(F.slice("_w", 1, shorter), F.slice("_w", F.lit(2), shorter), lambda a, b: a == b), F.lit(False)))
         .cast("long")
         .alias("n_same_as_previous"),
     )
