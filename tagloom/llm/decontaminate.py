@@ -44,7 +44,8 @@ class _Terms(dict):
 class Settings:
     """window and stride of passages, in words; rank of the latent space; least cosine of a candidate; least share of
     the item's words in common order, with and without the answer's; least share of the answer's words; share of the
-    documents above which a word is no term, unless it is one of the `rarest` words of an item."""
+    documents above which a word is no term, unless it is one of the `rarest` words of an item;
+    items of fewer than least_words words have to be there word for word."""
 
     window: int = 48
     stride: int = 24
@@ -56,6 +57,7 @@ class Settings:
     answer: float = 0.5
     common: float = 0.01
     rarest: int = 6
+    least_words: int = 8
     block_items: int = 4000
 
 
@@ -207,6 +209,8 @@ def _vectors(new: np.ndarray, terms: np.ndarray, weight: np.ndarray, space: np.n
 def check_pair(item: list[bytes], body: list[bytes], s: Settings) -> float:
     """Share of the item's words found in order in some stretch of body; 0 when it or the answer's share is too low."""
     n = len(item)
+    if n < s.least_words:  # too short to be told by a share of its words
+        return float(any(body[i : i + n] == item for i in range(len(body) - n + 1)))
     span, best = max(n + 2, math.ceil(1.3 * n)), 0.0
     have, bound = Counter(body), 0
     for w, k in Counter(item).items():

@@ -399,6 +399,11 @@ def test_lcs():
         assert decontaminate.lcs(a, b) == plain(a, b)
 
 
+def test_short_items_have_to_be_there_word_for_word():
+    s, body = decontaminate.Settings(), [b"a", b"b", b"x", b"c", b"d", b"e"]
+    assert decontaminate.check_pair([b"c", b"d", b"e"], body, s) == 1 and decontaminate.check_pair([b"b", b"c", b"d"], body, s) == 0
+
+
 def test_leaks(spark, odd):
     vocabulary = [f"w{i}" for i in range(3000)]
     make = lambda seed, n: " ".join(np.random.default_rng(seed).choice(vocabulary, n))
