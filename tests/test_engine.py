@@ -289,3 +289,16 @@ def test_replication_state(spark, tmp_path):
 def test_missing_member_drops_all_rows(spark, engine, elements):
     e = tb.Elements(elements.nodes, elements.ways, elements.relations, elements.coords.where("id <> 20"))
     assert engine.tables(e)["stops"].count() == 0
+
+
+def test_clustering_keeps_rows_and_neighbours(spark, tables):
+    from tagloom.engine import optimize
+    from tagloom.operators.sinks import spatial_order
+
+    out = optimize(tables["roads"], 2)
+    assert out.columns == tables["roads"].columns and out.count() == tables["roads"].count()
+    grid = spark.range(400).selectExpr("id", "id % 20 * 18.0 - 180 as lon", "floor(id / 20) * 9.0 - 90 as lat")
+    parts = spatial_order(grid, F.col("lon"), F.col("lat"), 4).withColumn("p", F.spark_partition_id())
+    spans = parts.groupBy("p").agg(F.count(F.lit(1)).alias("n"), (F.max("lon") - F.min("lon")).alias("w"), (F.max("lat") - F.min("lat")).alias("h")).collect()
+    assert len(spans) == 4 and sum(r.n for r in spans) == 400
+    assert sum((r.w + 18) * (r.h + 9) for r in spans) < 2.5 * 360 * 180  # rows at random: 4
