@@ -73,7 +73,7 @@ def texts(col: pa.Array) -> list[bytes]:
 class WordHashes(dict):
     """Word bytes to 64-bit hash; emptied when it holds too many words, so its memory stays bounded."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -88,7 +88,7 @@ def automaton(path: str) -> Automaton:
 
 
 class _Counts(dict):
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 300_000):
         super().__init__()
         self.machine, self.limit = automaton(path), limit
 
