@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from .common import clear_batches, cut, fresh_path, n_shuffle, table, texts
 from .seekable import Reader, Writer
+from .token_counts import byte_alphabet
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -26,31 +29,70 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordEncoder:
-    """Encodes texts word by word, each distinct word once.
+#: Words of printable ASCII, and of Latin letters, that the pre-tokens can be cut from by a plain pattern: no apostrophe
+#: (contractions), no "<" (special tokens), no control characters or other white space.
+_ASCII = re.compile(rb"[!-&(-;=-~]+")
+_LATIN = re.compile("[!-&(-;=-~\u00a1-\u012f\u0131-\u024f]+")
+_ASCII_PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+_LATIN_PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
-    Right for tokenizers whose pre-tokens never hold white space and whose normaliser never joins characters
-    across it, as those that drop white space do. The store of words is emptied when it is full.
+
+class _Pieces(dict):
+    """Ids of single pre-tokens in normal form: the model alone, on the characters that stand for their bytes."""
+
+    def __init__(self, tokenizer, limit: int):
+        super().__init__()
+        self.model, self.limit = tokenizer.model, limit
+        self.shown = {b: c for c, b in byte_alphabet().items()}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.shown)
+        out = self[piece] = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+        return out
+
+
+class WordEncoder(dict):
+    """Ids of words, as little-endian u32 bytes; texts are encoded word by word, each distinct word once.
+
+    Right for tokenizers that lower-case, drop white space and cut at letters, digits and the rest, as the pre-tokens
+    then never hold white space and the normaliser never joins characters across it. Words of Latin letters share the
+    ids of their lower-case pre-tokens, of which more are kept, as they recur more; all others are encoded whole. Both
+    stores are emptied when they are full.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000, pieces: int = 600_000):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pieces, self.limit = _Pieces(self.tokenizer, pieces), limit
+
+    def __missing__(self, word: bytes) -> bytes:
+        get = self.pieces.__getitem__
+        if _ASCII.fullmatch(word):
+            out = b"".join(map(get, _ASCII_PIECES.findall(word.lower())))
+        elif _LATIN.fullmatch(text := word.decode()):
+            out = b"".join([get(p.encode()) for p in _LATIN_PIECES.findall(text.lower())])
+        else:
+            out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = out
+        return out
 
     def encode(self, docs: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian u32 bytes."""
-        words = [d.split() for d in docs]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = list(set(chain.from_iterable(words)) - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            made = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, made, strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        get = self.__getitem__
+        return [b"".join(map(get, d.split())) for d in docs]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    """One for each worker process, so that tasks share what is known."""
+    return WordEncoder(path)
 
 
 def _pieces(items: list[bytes], limit: int = 8 << 20) -> Iterator[slice]:
@@ -74,12 +116,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, writer, end = TaskContext.get().partitionId(), None, np.array([end_id], "<u4").tobytes()
-        encoder = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = WordEncoder(tokenizer)
+                words = encoder(tokenizer)
                 fs, base = FileSystem.from_uri(folder)
                 fs.create_dir(base, recursive=True)
                 part = f"{base}/.{shard:06d}-{uuid.uuid4().hex}"
@@ -87,7 +128,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
                 writer = Writer(out, frame_bytes)
             ids, bodies = batch.column("doc_id").to_pylist(), texts(batch.column("text"))
             for s in _pieces(bodies):
-                for doc_id, x in zip(ids[s], encoder.encode(bodies[s]), strict=True):
+                for doc_id, x in zip(ids[s], words.encode(bodies[s]), strict=True):
                     writer.add(doc_id, x + end)
         if writer is not None:
             writer.close()
