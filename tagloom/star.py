@@ -157,9 +157,9 @@ def _text(tags: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
 
 
-def _sql_text(*tags: str) -> str:
-    """Sorted k=v text of the given (condition, key) pairs in SQL."""
-    return "concat_ws(';', " + ", ".join(tags) + ")"
+def _rounded(c: Column, digits: int) -> Column:
+    """Rounded, with one zero alone."""
+    return F.round(c, digits) + F.lit(0.0)
 
 
 # --- tag filters ---
@@ -335,9 +335,9 @@ def _(spark, d):
 # --- geometry ---
 
 
-@query("g1_project", V_NODES + " select id, round(lon*20037508.342789244/180.0, 3) as x, round(ln(tan((lat+90.0)*pi()/360.0))/pi()*20037508.342789244, 3) as y from nodes")
+@query("g1_project", V_NODES + " select id, round(lon*20037508.342789244/180.0, 3) + 0.0::double as x, round(ln(tan((lat+90.0)*pi()/360.0))/pi()*20037508.342789244, 3) + 0.0::double as y from nodes")
 def _(spark, d):
-    return nodes(spark, d).select("id", F.round(geometry.project_x(F.col("lon")), 3).alias("x"), F.round(geometry.project_y(F.col("lat")), 3).alias("y"))
+    return nodes(spark, d).select("id", _rounded(geometry.project_x(F.col("lon")), 3).alias("x"), _rounded(geometry.project_y(F.col("lat")), 3).alias("y"))
 
 
 @query("g2_unproject", "select o_orderkey as id, round(o_totalprice*100*180.0/20037508.342789244, 7) as lon, round((atan(exp(o_totalprice*50/20037508.342789244*pi()))*2.0-pi()/2)*180.0/pi(), 7) as lat from orders")
@@ -439,14 +439,14 @@ def _(spark, d):
 # --- element pipelines ---
 
 
-@query("w1_point_rows", V_NODES + """ select id, size::int as size, case when "type" in ('PROMO','ECONOMY') then "type" else name end as mapping_value, round(lon*20037508.342789244/180.0, 3) as x, round(ln(tan((lat+90.0)*pi()/360.0))/pi()*20037508.342789244, 3) as y from nodes""")
+@query("w1_point_rows", V_NODES + """ select id, size::int as size, case when "type" in ('PROMO','ECONOMY') then "type" else name end as mapping_value, round(lon*20037508.342789244/180.0, 3) + 0.0::double as x, round(ln(tan((lat+90.0)*pi()/360.0))/pi()*20037508.342789244, 3) + 0.0::double as y from nodes""")
 def _(spark, d):
     m = mapping()
     dest = next(x for x in compiler.destinations(m, "point", F.col("tags"), F.lit(False), False) if x.table.name == "parts")
     n = nodes(spark, d).withColumn("m", dest.match).where("m is not null")
     row = Row(F.col("tags"), F.col("m.key"), F.col("m.value"), F.col("id"), F.lit(None))
     cols = [columns.build(c, row) for c in dest.table.columns]
-    return n.select(*cols, F.col("m.value").alias("mapping_value"), F.round(geometry.project_x(F.col("lon")), 3).alias("x"), F.round(geometry.project_y(F.col("lat")), 3).alias("y"))
+    return n.select(*cols, F.col("m.value").alias("mapping_value"), _rounded(geometry.project_x(F.col("lon")), 3).alias("x"), _rounded(geometry.project_y(F.col("lat")), 3).alias("y"))
 
 
 _W2 = V_MERC + _LENGTH + f""", len_ as (select id, round(sum(coalesce(s, 0))/1000, 3) as km from seg group by id having count(*) > 1),
@@ -692,7 +692,7 @@ def _(spark, d):
     return t.select("id", k.call("ST_IsValid", "geometry").alias("valid"), F.round(F.col("area") / 1e6, 1).alias("km2"))
 
 
-@query("c15_c17_area_columns", _TRIANGLE + " select id, round(log10(area), 4) as area, round(log10(area * power(cos(atan(exp((a+(z-a)/2)/20037508.342789244*pi()))*2.0-pi()/2), 2)), 4) as webmerc_area from t where area > 1e6")
+@query("c15_c17_area_columns", _TRIANGLE + " select id, round(log10(area::float::double), 4) as area, round(log10((area * power(cos(atan(exp((a+(z-a)/2)/20037508.342789244*pi()))*2.0-pi()/2), 2))::float::double), 4) as webmerc_area from t where area > 1e6")
 def _(spark, d):
     m = Mapping.parse("tables: {t: {type: polygon, columns: [{name: area, type: area}, {name: webmerc_area, type: webmerc_area}]}}")
     row = Row(F.col("tags"), F.lit(""), F.lit(""), F.col("id"), F.col("geometry"))
