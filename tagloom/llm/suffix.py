@@ -276,6 +276,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows
     forget(spark, shared)
     contexts = cut(spark, members.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos", "lo", "hi")).alias("at")), "contexts")
     sizes = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    sizes = cut(spark, sizes, "sizes")  # again apart from the join
     shards = F.ceil(F.col("rows") / shard_rows)
     shard = F.when(shards > 1, 1 + F.pmod(F.xxhash64("c"), shards)).otherwise(0).cast("int")
     ask = contexts.join(sizes, "h").groupBy("at.id").agg(F.collect_list(F.struct("h", "c", shard.alias("shard"), "at.pos", "at.lo", "at.hi")).alias("a"))
