@@ -230,7 +230,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
     else:
         merged = components(spark, links.union(more))
     labelled = nodes.select("key", "rep").join(merged.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("component", "key").alias("label"))
-    named = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    named = cut(spark, labelled.groupBy("label").agg(F.min("rep").alias("component_id")), "named")  # apart from the join
     by_key = labelled.join(named, "label").select("key", "component_id")
     out = rows.select("doc_id", "key", "n_shingles").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
