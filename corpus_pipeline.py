@@ -13,7 +13,7 @@ from tagloom.llm.decontaminate import find_leaks
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.mixing import mix
 from tagloom.llm.quality import accepted
-from tagloom.llm.token_output import token_output
+from tagloom.llm.token_output import ordered_token_output
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents, and what was read back from them."""
-    return token_output(spark, docs)
+    """Token files of all documents in the order of the mix, and what was read back from them.
+
+    A table keeps no order, so the places of the mix are worked out again: mixing gives the same rows the same places.
+    """
+    return ordered_token_output(spark, mix(spark, docs), "position")
 
 
 STAGES = [

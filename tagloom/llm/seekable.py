@@ -6,8 +6,9 @@ A file is a row of zstandard frames in the public seekable layout. Each data fra
 
 After the data frames come two skippable frames: a document index (for each frame: null flag, first doc_id and
 document count) and the seek table (for each frame: compressed size, plain size, low half of the XXH64 of the
-plain bytes). Documents are in ascending doc_id order, nulls first, so a reader finds the frames of a document
-in the index and decompresses those alone.
+plain bytes). When documents are in ascending doc_id order, nulls first, a reader finds the frames of a document
+in the index and decompresses those alone; in a file of another order, which the index marks beside the null flag,
+it has to go through all frames.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import zstandard
 #: Fixed values of the seekable format, and the skippable frame used for the document index.
 SEEK_MAGIC, SKIP_SEEK, SKIP_INDEX = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
 NULL_ID = -(2**63)
+#: Bits of the index's flag byte: the frame's first doc_id is null; the file's doc_ids are not in ascending order.
+NULL_FIRST, UNORDERED = 1, 2
 
 
 class Writer:
@@ -31,9 +34,12 @@ class Writer:
         self.out, self.limit = out, frame_bytes
         self.zip = zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.table, self.index, self.docs, self.held = [], [], [], 0
+        self.last, self.ordered = NULL_ID, True
         self.n_docs = self.n_tokens = self.n_bytes = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
+        key = NULL_ID if doc_id is None else doc_id
+        self.ordered, self.last = self.ordered and key >= self.last, key
         self.docs.append((doc_id, ids))
         self.held += len(ids) + 13
         self.n_docs += 1
@@ -61,7 +67,8 @@ class Writer:
 
     def close(self) -> None:
         self._flush()
-        index = b"".join(struct.pack("<?qI", *x) for x in self.index)
+        mark = 0 if self.ordered else UNORDERED
+        index = b"".join(struct.pack("<BqI", null * NULL_FIRST | mark, first, n) for null, first, n in self.index)
         self._put(struct.pack("<II", SKIP_INDEX, len(index)) + index)
         seek = b"".join(struct.pack("<III", *x) for x in self.table) + struct.pack("<IBI", len(self.table), 0x80, SEEK_MAGIC)
         self._put(struct.pack("<II", SKIP_SEEK, len(seek)) + seek)
@@ -81,7 +88,9 @@ class Reader:
         skip, length = struct.unpack("<II", self._at(int(self.offsets[-1]), 8))
         if skip != SKIP_INDEX or length != 13 * n:
             raise ValueError("no document index")
-        self.index = [x for x in struct.iter_unpack("<?qI", self._at(int(self.offsets[-1]) + 8, length))]
+        index = list(struct.iter_unpack("<BqI", self._at(int(self.offsets[-1]) + 8, length)))
+        self.index = [(bool(flags & NULL_FIRST), first, n) for flags, first, n in index]
+        self.ordered = not any(flags & UNORDERED for flags, _, _ in index)
         self.unzip = zstandard.ZstdDecompressor()
 
     def _at(self, offset: int, n: int) -> bytes:
@@ -112,7 +121,9 @@ class Reader:
             yield from self.frame(k)
 
     def frames_of(self, doc_id: int) -> list[int]:
-        """Frames that may hold doc_id: those whose range of first ids covers it."""
+        """Frames that may hold doc_id: those whose range of first ids covers it, or all of a file of another order."""
+        if not self.ordered:
+            return list(range(len(self.index)))
         firsts = np.array([NULL_ID if null else first for null, first, _ in self.index], np.int64)
         lo = max(0, int(np.searchsorted(firsts, doc_id, "left")) - 1)
         hi = int(np.searchsorted(firsts, doc_id, "right"))

@@ -1,4 +1,4 @@
-"""Token-ID output: documents in doc_id order to seekable zstandard files, one for each range partition."""
+"""Token-ID output: documents in doc_id order, or one given, to seekable zstandard files, one for each range partition."""
 
 from __future__ import annotations
 
@@ -107,11 +107,11 @@ def _pieces(items: list[bytes], limit: int = 8 << 20) -> Iterator[slice]:
         yield slice(start, len(items))
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = 1 << 18) -> DataFrame:
+def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = 1 << 18, order: str | None = None) -> DataFrame:
     """Encode and write docs (doc_id, text); the manifest (shard, path, n_docs, n_tokens, n_bytes, start) is returned.
 
-    Shards are ranges of doc_id, so their order is document order; equal ids are ordered by text. A shard is written
-    under a name of its own and then renamed, so a task that is run again replaces it by the same bytes.
+    Shards are ranges of doc_id, so their order is document order; equal ids are ordered by text. With `order`, a column
+    of docs without ties, they are ranges of it. A shard is written under a name of its own and then renamed, so a task that is run again replaces it by the same bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +138,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
                 [pa.array([x]) for x in (shard, f"{folder}/{shard:06d}.tok", writer.n_docs, writer.n_tokens, writer.n_bytes)], ["shard", "path", "n_docs", "n_tokens", "n_bytes"]
             )
 
-    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    d = d.repartitionByRange(n_shuffle(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.col(order).alias("_at")] if order else []))
+    if order:
+        d = d.repartitionByRange(n_shuffle(spark), "_at").sortWithinPartitions("_at")
+    else:
+        d = d.repartitionByRange(n_shuffle(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     made = clear_batches(d).mapInArrow(run, "shard long, path string, n_docs long, n_tokens long, n_bytes long")
     # One row for each file, so the driver holds a few numbers for each file and no more.
     rows, start = [], 0
@@ -183,5 +186,33 @@ def token_output(spark: SparkSession, docs: DataFrame, tokenizer: str | None = N
     return read_tokens(spark, write_tokens(spark, docs, folder, tokenizer or tokenizer_path(), end_id)).drop("shard")
 
 
+def ordered_token_output(spark: SparkSession, docs: DataFrame, order: str, tokenizer: str | None = None, end_id: int = 2, folder: str | None = None) -> DataFrame:
+    """token_output() with files in the order of `order`, a column of docs without ties; adds file_start.
+
+    file_start is the number of tokens before the document in the files, so it follows `order`; start still counts
+    those of the documents of lesser doc_id (of equal ids, of those earlier in the files).
+    """
+    folder = folder or fresh_path(spark, "tokens")
+    d = read_tokens(spark, write_tokens(spark, docs, folder, tokenizer or tokenizer_path(), end_id, order=order)).drop("shard").withColumnRenamed("start", "file_start")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, start = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("n_tokens").to_numpy()
+            at = start + np.cumsum(n) - n
+            start += int(n.sum())
+            yield pa.record_batch([*batch.columns, pa.array(at, pa.int64()), pa.array([part] * len(n), pa.int64())], [*batch.schema.names, "_start", "_part"])
+
+    d = d.repartitionByRange(n_shuffle(spark), "doc_id", "file_start").sortWithinPartitions("doc_id", "file_start")
+    d = cut(spark, d.mapInArrow(run, "doc_id long, file_start long, n_tokens long, ids_crc32 long, _start long, _part long"), "starts")
+    # One row for each partition.
+    rows, start = [], 0
+    for part, n in sorted(tuple(r) for r in d.groupBy("_part").agg(F.sum("n_tokens")).collect()):
+        rows.append((part, start))
+        start += n
+    before = spark.createDataFrame(rows, "_part long, _before long")
+    return d.join(F.broadcast(before), "_part").select("doc_id", (F.col("_before") + F.col("_start")).alias("start"), "n_tokens", "ids_crc32", "file_start")
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

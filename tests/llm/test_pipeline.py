@@ -1,6 +1,9 @@
 """The pipeline against a plain version of its five stages, and each stage's contract."""
 
+import io
+import tempfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,7 +11,8 @@ from pyspark.sql import functions as F
 from test_text_operators import edited, plain_components, plain_quality
 
 import corpus_pipeline
-from tagloom.llm import quality, token_output
+from tagloom.llm import mixing, quality, token_output
+from tagloom.llm.seekable import Reader
 
 STOPS = "the of and to in is that it for on was with".split()
 
@@ -75,3 +79,22 @@ def test_stages_keep_the_columns_and_empty_tables(spark, case):
         assert stage(spark, docs.where("doc_id < 5"), d).columns == docs.columns
         assert stage(spark, docs.where("false"), d).count() == 0
     assert corpus_pipeline.source_mixing(spark, docs, d).count() == docs.count()
+
+
+def test_token_files_follow_the_mix(spark, case):
+    d = case[0]
+    got = corpus_pipeline.run(spark, d).collect()
+    kept = spark.read.parquet(f"{d}/documents.parquet").where(F.col("doc_id").isin([r.doc_id for r in got]))
+    order = [r.doc_id for r in sorted(mixing.mix(spark, kept).select("doc_id", "position").collect(), key=lambda r: r.position)]
+    rows = sorted(got, key=lambda r: r.file_start)
+    assert [r.doc_id for r in rows] == order != sorted(order)
+    assert [r.file_start for r in rows] == [sum(r.n_tokens for r in rows[:i]) for i in range(len(rows))]
+
+
+def test_files_of_another_order(spark):
+    d = spark.createDataFrame([(i or None, f"text {i}", -i) for i in range(40)], "doc_id bigint, text string, at bigint")
+    rows = token_output.write_tokens(spark, d, f"file://{tempfile.mkdtemp()}", token_output.tokenizer_path(), 2, frame_bytes=60, order="at").collect()
+    files = [Path(r.path.removeprefix("file://")).read_bytes() for r in sorted(rows)]
+    readers = [Reader(io.BytesIO(x), len(x)) for x in files]
+    assert [i for r in readers for i, _ in r.documents()] == [*range(39, 0, -1), None]
+    assert all(sum(len(r.find(i)) for r in readers) == 1 for i in range(1, 40))
