@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 from .ranks import rank_within
 
 #: Fixed marks of the rendering: a header line for each turn and an end mark.
@@ -91,8 +91,32 @@ def preference_pairs(rows: DataFrame) -> DataFrame:
     return format_pairs(pair_by_opening(conversations(rows)))
 
 
-def op7_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = preference_pairs(table(spark, sf_dir, "conversations"))
+def reply_pairs(spark: SparkSession, rows: DataFrame, role: str = "assistant") -> DataFrame:
+    """Conversations (conv_id, turn, role, text) to formatted preference pairs, one for each conversation.
+
+    Chosen is the conversation; rejected is the same with the text of its last `role` turn replaced by another one: of
+    the distinct texts of last `role` turns, in the order of their md5, the next, and after the last the first. So the
+    two always differ. rejected_id is the least conv_id of those that the text ends. Without a `role` turn, or when all
+    these texts are equal, there is no rejected side. Otherwise as preference_pairs().
+    """
+    turns = F.col("turns")
+    places = F.transform(turns, lambda t, i: F.when(t["role"] == role, i))
+    convs = conversations(rows).withColumn("_at", F.array_max(places)).withColumn("_reply", F.get(turns, F.col("_at"))["text"])
+    convs = convs.withColumn("_key", F.md5("_reply"))
+    replies = convs.where("_at is not null").groupBy("_key").agg(F.min("conv_id").alias("_id"), F.min("_reply").alias("_other"))
+    replies = cut(spark, replies, "replies")
+    n = replies.count()
+    ranked = rank_within(replies, [], F.col("_key"), n, "_no")
+    follower = ranked.select(F.pmod(F.col("_no") - 1, F.lit(max(n, 1))).alias("_no"), "_id", "_other").where(F.lit(n > 1))
+    links = ranked.select("_key", "_no").join(follower, "_no").drop("_no")
+    put = F.transform(turns, lambda t, i: F.when(i == F.col("_at"), t.withField("text", F.col("_other"))).otherwise(t))
+    pairs = convs.join(links, "_key", "left").select(
+        F.struct("conv_id", "turns").alias("c"), F.when(F.col("_other").isNotNull(), F.struct(F.col("_id").alias("conv_id"), put.alias("turns"))).alias("r")
+    )
+    return format_pairs(pairs)
+
+
+def _digests(d: DataFrame) -> DataFrame:
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return d.select(
         "chosen_id", "rejected_id", "n_common", F.md5("prompt").alias("prompt_md5"), F.md5("chosen").alias("chosen_md5"), F.md5("rejected").alias("rejected_md5"),
@@ -100,6 +124,14 @@ def op7_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digests(preference_pairs(table(spark, sf_dir, "conversations")))
+
+
+def op7_reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digests(reply_pairs(spark, table(spark, sf_dir, "conversations")))
+
+
 _R = "'<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)"
 _SPANS = """array_to_string(list_transform(list_filter(range(1, len({t}) + 1), lambda i: {t}[i].role = 'assistant'), lambda i:
   (coalesce(list_sum(list_transform({t}[1:i - 1], lambda x: length({r}))), 0)::bigint + length({t}[i].role) + 5)::varchar || '-' ||
@@ -118,3 +150,14 @@ select chosen_id, rejected_id, n::int as n_common, md5(coalesce(array_to_string(
   case when b is not null then md5(coalesce(array_to_string(list_transform(b, lambda x: {_R}), ''), '')) end as rejected_md5,
   coalesce({_SPANS.format(t="a", r=_R)}, '') as chosen_spans, case when b is not null then coalesce({_SPANS.format(t="b", r=_R)}, '') end as rejected_spans from m
 """
+#: DuckDB SQL for op7_reply_pairs.
+OP7_REPLIES_SQL = f"""
+with c as (select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as t
+  from conversations where conv_id is not null group by conv_id),
+k as (select *, list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')) as p from c),
+e as (select t[p].text as reply, min(conv_id) as id, row_number() over (order by md5(t[p].text)) - 1 as no, count(*) over () as m from k where p is not null group by t[p].text),
+n as (select k.conv_id as chosen_id, y.id as rejected_id, case when y.id is null then 0 else p - 1 end as n, t as ta,
+    case when y.id is not null then t[1:p - 1] || [{{'role': t[p].role, 'text': y.reply}}] || t[p + 1:] end as tb
+  from k left join e x on p is not null and t[p].text = x.reply left join e y on x.m > 1 and y.no = (x.no + 1) % x.m),
+m as (select chosen_id, rejected_id, n, ta[1:n] as h, ta[n + 1:] as a, case when tb is not null then tb[n + 1:] end as b from n)
+{OP7_SQL[OP7_SQL.index("select chosen_id, rejected_id, n::int"):]}"""

@@ -382,6 +382,25 @@ def test_identical_conversations_share_everything(spark):
     assert len(got) == 2 and all((r.n_common, r.chosen, r.rejected) == (3, "", "") for r in got)
 
 
+def test_every_conversation_gets_a_rejected_reply(spark):
+    rows = [(i, t, ("user", "assistant")[t % 2], f"{('ask', 'say')[t % 2]} {i if t < 3 or i > 2 else 0}") for i in range(7) for t in range(4)]
+    rows += [(5, 4, "user", "more"), (50, 0, "user", "no reply"), (51, 0, "assistant", "alone")]
+    d = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("rank", F.lit(1))
+    got = {r.chosen_id: r for r in chat.reply_pairs(spark, d).collect()}
+    assert sorted(got) == [*range(7), 50, 51] and got[50].rejected is None and got[50].chosen_spans == []
+    text = {(c, t): x for c, t, _, x in rows}
+    for i in range(7):  # 0, 1 and 2 end with the same reply
+        r = got[i]
+        other = r.rejected.split("<|end|>")[0].removeprefix("<|assistant|>\n")
+        assert r.n_common == 3 and r.prompt.count("<|end|>") == 3 and f"say {i}" in r.prompt and r.chosen != r.rejected
+        assert other == ("alone" if r.rejected_id == 51 else text[r.rejected_id, 3]) and r.rejected_id not in (1, 2)
+        assert r.chosen == f"<|assistant|>\n{text[i, 3]}<|end|>\n" + ("<|user|>\nmore<|end|>\n" if i == 5 else "")
+        assert [r.rejected[a:b] for a, b in r.rejected_spans] == [f"{other}<|end|>\n"]
+    assert got[51].n_common == 0 and got[51].rejected
+    assert [r.rejected for r in chat.reply_pairs(spark, d.where("conv_id < 3 and turn > 2")).collect()] == [None] * 3
+    assert chat.reply_pairs(spark, d.where("false")).count() == 0
+
+
 # --- decontamination ---
 
 
