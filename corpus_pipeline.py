@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import cut, table
 from tagloom.llm.decontaminate import find_leaks
 from tagloom.llm.minhash import near_duplicates
-from tagloom.llm.mixing import mix
+from tagloom.llm.mixing import mix_to_weights
 from tagloom.llm.quality import accepted
 from tagloom.llm.token_output import ordered_token_output
 
@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: rows are range-partitioned and sorted by position."""
-    return mix(spark, docs).orderBy("position").select(*docs.columns)
+    return mix_to_weights(spark, docs).orderBy("position").select(*docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A table keeps no order, so the places of the mix are worked out again: mixing gives the same rows the same places.
     """
-    return ordered_token_output(spark, mix(spark, docs), "position")
+    return ordered_token_output(spark, mix_to_weights(spark, docs), "position")
 
 
 STAGES = [

@@ -4,10 +4,15 @@ Block j of a source with n blocks in a period of D slots is released at slot flo
 ceil((j + 1) D / n). Earliest deadline first, over released blocks, meets every deadline when the n add up to D,
 so after any number of slots a source is less than one block away from its target. The schedule of one period
 is folded by a SQL aggregate and is repeated; a document's place in the output is then closed arithmetic.
+
+mix() keeps to weights rounded to whole blocks of one period, as the SQL of op1_mixing does, so against the weights
+themselves its error grows with the rows. mix_to_weights() takes the rounding error of each period into the next:
+its periods have quotas of their own, and it stays less than two blocks away from the weights in every prefix.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +33,19 @@ def quotas(sources: list[tuple[str | None, int]], weights: dict[str | None, floa
 
 def schedule(spark: SparkSession, n: list[int]) -> DataFrame:
     """One period: rows (source_no, block_no, slot, before), before being the blocks of each source in earlier slots."""
-    period = sum(n)
-    quota = F.array(*[F.lit(x) for x in n])
+    slots = _slots(F.array(*[F.lit(x) for x in n]), F.lit(sum(n)), len(n))
+    return spark.range(1).select(F.posexplode(slots).alias("slot", "x")).select(F.col("slot").cast("long"), "x.*")
+
+
+def _slots(quota: Column, period: Column, n_sources: int) -> Column:
+    """The slots of a period, an array of (source_no, block_no, before); the quotas add up to the period, 1 or more."""
 
     def step(acc: Column, t: Column) -> Column:
         due = F.transform(
             acc["done"],
             lambda d, i: F.when(
-                (d < F.get(quota, i)) & (F.floor(d * period / F.get(quota, i)) <= t),
-                F.struct(F.ceil((d + 1) * period / F.get(quota, i)).cast("int").alias("due"), i.alias("i")),
+                (d < F.get(quota, i)) & (F.floor(d * period / F.greatest(F.get(quota, i), F.lit(1))) <= t),
+                F.struct(F.ceil((d + 1) * period / F.greatest(F.get(quota, i), F.lit(1))).cast("int").alias("due"), i.alias("i")),
             ),
         )
         pick = F.array_min(F.array_compact(due))["i"]
@@ -45,9 +54,8 @@ def schedule(spark: SparkSession, n: list[int]) -> DataFrame:
             F.concat(acc["out"], F.array(F.struct(pick.alias("source_no"), F.get(acc["done"], pick).alias("block_no"), acc["done"].alias("before")))).alias("out"),
         )
 
-    start = F.struct(F.array_repeat(F.lit(0), len(n)).alias("done"), F.expr("cast(array() as array<struct<source_no:int,block_no:int,before:array<int>>>)").alias("out"))
-    slots = F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, step, lambda acc: acc["out"])
-    return spark.range(1).select(F.posexplode(slots).alias("slot", "x")).select(F.col("slot").cast("long"), "x.*")
+    start = F.struct(F.array_repeat(F.lit(0), n_sources).alias("done"), F.expr("cast(array() as array<struct<source_no:int,block_no:int,before:array<int>>>)").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), period - 1), start, step, lambda acc: acc["out"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = 16, period: int = 1000) -> DataFrame:
@@ -92,6 +100,100 @@ def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] |
     )
 
 
+def _run_outs(weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """When sources with a weight run out: blocks for each unit of weight until then, and slots until then."""
+    w, b = weights[weights > 0], blocks[weights > 0]
+    ends = np.unique(b / w)
+    return ends, np.array([np.minimum(b, w * v).sum() for v in ends])
+
+
+def targets(weights: np.ndarray, blocks: np.ndarray, t: int) -> np.ndarray:
+    """Blocks of each source that t slots should hold: in proportion to the weights, of which those of sources that have
+    run out go to the others. Sources of weight 0 come when all others have run out, in proportion to their blocks."""
+    on = weights > 0
+    if t > (first := blocks[on].sum()):
+        rest = np.where(on, 0, blocks)
+        return np.where(on, blocks, rest * ((t - first) / rest.sum()))
+    ends, filled = _run_outs(weights, blocks)
+    k = min(int(np.searchsorted(filled, t - 1e-6)), len(ends) - 1)
+    low, base = (ends[k - 1], filled[k - 1]) if k else (0.0, 0.0)
+    return np.minimum(blocks, weights * (low + (t - base) * (ends[k] - low) / (filled[k] - base)))
+
+
+def period_quotas(weights: list[float], blocks: list[int], period: int) -> list[np.ndarray]:
+    """Blocks of each source in each period, earliest deadline first over whole periods. Their sums from the first on are
+    less than one block away from targets(). A period has `period` slots, or fewer up to where a source runs out."""
+    w, b = np.array(weights, float), np.array(blocks, np.int64)
+    done, out, total = np.zeros(len(b), np.int64), [], int(b.sum())
+    pace = np.where(w > 0, w, 1e-300)
+    stops = {int(x + 1e-6) for x in _run_outs(w, b)[1]} - {0}
+    for t in sorted({*range(period, total, period), *stops, total}):
+        aim = targets(w, b, t)
+        new = np.minimum(np.maximum(done, np.floor(aim + 1e-6).astype(np.int64)), b)
+        free = np.flatnonzero(new < np.minimum(np.ceil(aim - 1e-6), b))
+        new[free[np.argsort((new[free] + 1) / pace[free], kind="stable")][: t - int(new.sum())]] += 1
+        if new.sum() != t:
+            raise AssertionError("a period is not full")
+        out.append(new - done)
+        done = new
+    return out
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = 16, period: int = 1000) -> DataFrame:
+    """mix(), held to the weights themselves: after any number of slots a source is less than two blocks away from its
+    target while no source has run out, whatever the number of rows.
+
+    When a source has run out, the others take its slots at their relative weights, so no slot stays empty. Sources of
+    weight 0, or not in `weights`, come after all others. The driver holds the quotas of each period (a number for each
+    source and `period` blocks); each period is folded by a task, and two numbers for each block are broadcast.
+    """
+    docs = docs.drop("source_rank", "block", "slot", "position")
+    sources = [(r["source"], r["count"]) for r in docs.groupBy("source").count().orderBy("source").limit(MAX_SOURCES + 1).collect()]
+    if len(sources) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    added = {"source_rank": "long", "block": "long", "slot": "long", "position": "long"}
+    if not sources:
+        return docs.withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
+    w, counts = [n**0.5 if weights is None else weights.get(s, 0.0) for s, n in sources], [c for _, c in sources]
+    if min(w) < 0 or sum(w) <= 0:
+        raise ValueError("weights are negative, or no source has one")
+    rows, done = [], np.zeros(len(w), np.int64)
+    for k, q in enumerate(period_quotas(w, [-(-c // block_rows) for c in counts], period)):
+        rows.append((k, int(q.sum()), q.tolist(), done.tolist(), int(done.sum())))
+        done = done + q
+    plan = spark.createDataFrame(rows, "k long, n int, quota array<int>, done array<long>, slot long").repartition(len(rows), "k")
+    plan = plan.select("done", "slot", F.posexplode(_slots(F.col("quota"), F.col("n"), len(w))).alias("_s", "x"))
+    limits = F.array(*[F.lit(c).cast("long") for c in counts])
+    had = F.zip_with(F.zip_with("done", "x.before", lambda d, b: d + b), limits, lambda b, c: F.least(c, b * block_rows))
+    plan = plan.select(
+        F.col("x.source_no").alias("source_no"),
+        (F.get("done", F.col("x.source_no")) + F.col("x.block_no")).alias("_block"),
+        (F.col("slot") + F.col("_s")).alias("_slot"),
+        F.aggregate(had, F.lit(0).cast("long"), lambda a, x: a + x).alias("_start"),
+    )
+    # Packed, so that a block takes 24 bytes.
+    plan = plan.groupBy("source_no", F.floor(F.col("_block") / 256).alias("_chunk")).agg(F.array_sort(F.collect_list(F.struct("_block", "_slot", "_start"))).alias("_places"))
+    key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("text")))
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "source", key.alias("_key"))
+    ranked = rank_within(packed, ["source"], F.col("_key"), sum(counts), "source_rank")
+    names = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(sources)], "_s string, source_no int")
+    ranked = ranked.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    ranked = ranked.withColumn("block", F.floor(F.col("source_rank") / block_rows)).withColumn("_chunk", F.floor(F.col("block") / 256))
+    placed = ranked.join(F.broadcast(plan), ["source_no", "_chunk"]).withColumn("_at", F.get("_places", (F.col("block") % 256).cast("int")))
+    return placed.select(
+        "_row.*",
+        F.col("source_rank").cast("long"),
+        F.col("block").cast("long"),
+        F.col("_at._slot").alias("slot"),
+        (F.col("_at._start") + F.col("source_rank") % block_rows).cast("long").alias("position"),
+    )
+
+
+def op1_exact_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix_to_weights(spark, docs).select("doc_id", "source", "block", "slot", "position")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(spark, docs).select("doc_id", "source", "block", "slot", "position")

@@ -85,7 +85,7 @@ def test_token_files_follow_the_mix(spark, case):
     d = case[0]
     got = corpus_pipeline.run(spark, d).collect()
     kept = spark.read.parquet(f"{d}/documents.parquet").where(F.col("doc_id").isin([r.doc_id for r in got]))
-    order = [r.doc_id for r in sorted(mixing.mix(spark, kept).select("doc_id", "position").collect(), key=lambda r: r.position)]
+    order = [r.doc_id for r in sorted(mixing.mix_to_weights(spark, kept).select("doc_id", "position").collect(), key=lambda r: r.position)]
     rows = sorted(got, key=lambda r: r.file_start)
     assert [r.doc_id for r in rows] == order != sorted(order)
     assert [r.file_start for r in rows] == [sum(r.n_tokens for r in rows[:i]) for i in range(len(rows))]

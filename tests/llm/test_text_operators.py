@@ -357,6 +357,39 @@ def test_mixing_places_every_row(spark, odd):
     assert e.count() == 0 and "position" in e.columns
 
 
+@pytest.mark.parametrize("w,b", [([577**0.5] + [61**0.5] * 19, [500_000] * 20), ([1, 0.0001], [90_000, 90_000]), ([1] * 300, [40] * 300), ([3, 2, 0, 1], [50, 900, 70, 3])])
+def test_quotas_of_many_periods_keep_to_the_weights(w, b):
+    """The first is a source with a third of the rows and 19 equal ones, over 60 periods, none of which runs out."""
+    have, w, b = np.zeros(len(w)), np.array(w, float), np.array(b)
+    for q in mixing.period_quotas(w, b, 1000)[:60]:
+        have += q
+        t = int(have.sum())
+        assert 0 < q.sum() <= 1000 and (q >= 0).all() and (have <= b).all()
+        assert (np.abs(have - mixing.targets(w, b, t)) < 1).all()
+        if (w * t / w.sum() <= b).all():
+            assert (np.abs(have - w * t / w.sum()) < 1).all()
+        assert t > b[w > 0].sum() or not have[w == 0].any()
+
+
+def test_every_prefix_keeps_to_the_weights(spark, odd):
+    rows = [(i, str(i), None, "hot" if i < 2000 else f"s{i % 19}") for i in range(6000)] + [(i, "z", None, "none") for i in range(9)]
+    weights = {"hot": 577**0.5, **{f"s{i}": 61**0.5 for i in range(19)}}
+    out = sorted(mixing.mix_to_weights(spark, docs(spark, rows), weights, block_rows=2, period=50).collect(), key=lambda r: r.position)
+    assert [r.position for r in out] == list(range(6009)) and sorted({r.slot for r in out}) == list(range(max(r.slot for r in out) + 1))
+    assert [r.slot for r in out] == sorted(r.slot for r in out) and {r.source for r in out[-9:]} == {"none"}
+    have, total, left = Counter(), sum(weights.values()), Counter(r.source for r in out)
+    for t, r in enumerate(out, 1):
+        have[r.source] += 1
+        if t % 2 == 0:
+            assert all(abs(have[s] - t * weights[s] / total) < 4 for s in weights)
+        if have[r.source] > left[r.source] - 4:
+            break
+    assert t > 3000  # 30 periods
+    assert mixing.mix_to_weights(spark, odd).count() == len(ODD)
+    e = mixing.mix_to_weights(spark, empty(odd))
+    assert e.count() == 0 and "position" in e.columns
+
+
 # --- chat ---
 
 
