@@ -5,6 +5,9 @@ document frequencies over all documents. A randomised decomposition of the passa
 which only A^T (A R) for a random R is summed over the cluster, gives the latent space. Passages near a benchmark
 item by cosine are candidates; a candidate counts when the longest common subsequence of words covers enough of the
 item and of its answer, the item's last words. So reworded copies are found, and chance neighbours are not.
+
+Runs of words that a document shares with an item are candidates too, whatever the cosine: four words, or the whole of a
+shorter item. So an item that is there word for word is always found.
 """
 
 from __future__ import annotations
@@ -109,6 +112,59 @@ def _matrix(lists: list[np.ndarray], weight: np.ndarray, s: Settings) -> tuple[n
     return new, terms, np.stack([owner[new], wins[new]], axis=1)
 
 
+#: Words of a shared run that makes a candidate, and an odd factor of its rolling hash.
+RUN, _FACTOR = 4, np.uint64(0x9E3779B97F4A7C15)
+
+
+def _runs(terms: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of runs of n known terms, and their hashes."""
+    if len(terms) < n:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    at = np.flatnonzero(np.logical_and.reduce([terms[k : len(terms) - n + 1 + k] >= 0 for k in range(n)]))
+    h = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        h = (h ^ terms[at + k].astype(np.uint64)) * _FACTOR
+        h ^= h >> np.uint64(29)
+    return at, h
+
+
+class RunIndex:
+    """Items by the hashes of their runs of words: of items that have to be there word for word the first run alone."""
+
+    def __init__(self, lists: list[np.ndarray], s: Settings):
+        found: dict[int, dict[int, set[int]]] = {}
+        for i, x in enumerate(lists):
+            n = min(RUN, len(x))
+            _, h = _runs(x, n)
+            for v in h[:1].tolist() if len(x) < s.least_words else h.tolist():
+                found.setdefault(n, {}).setdefault(v, set()).add(i)
+        self.items = found
+        self.keys = {n: np.array(sorted(d), np.uint64) for n, d in found.items()}
+
+    def candidates(self, terms: np.ndarray) -> dict[int, list[int]]:
+        """Items that share a run with a text, and the places of the runs in it."""
+        out: dict[int, list[int]] = {}
+        for n, keys in self.keys.items():
+            at, h = _runs(terms, n)
+            hit = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h)
+            for p, v in zip(at[hit].tolist(), h[hit].tolist(), strict=True):
+                for i in self.items[n][v]:
+                    out.setdefault(i, []).append(p)
+        return out
+
+
+def _stretches(places: list[int], n: int) -> Iterator[tuple[int, int]]:
+    """Stretches of a text around ascending places, as wide as check_pair() looks for an item of n words."""
+    wide = max(n + 2, math.ceil(1.3 * n))
+    start, end = places[0] - wide, places[0] + wide
+    for p in places[1:]:
+        if p - wide > end:
+            yield max(0, start), end
+            start = p - wide
+        end = p + wide
+    yield max(0, start), end
+
+
 def _batches(bodies: list[bytes], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     start, n = 0, 0
     for i, x in enumerate(bodies):
@@ -263,14 +319,18 @@ def _search(spark: SparkSession, docs: DataFrame, items: list[tuple[int, bytes]]
         kept = df <= max(1, s.common * n_docs)
         for x in lists:
             x = np.unique(x)
+            x = x[df[x] > 0]  # words of no document tell nothing
             kept[x[np.argsort(df[x], kind="stable")[: s.rarest]]] = True
         weight = np.where(kept, np.maximum(np.log((1 + n_docs) / (1 + df)), 0.05), 0.0)
+        index = RunIndex(lists, s)
         # An item is one passage, however long.
         whole = Settings(window=max(len(x) for x in lists), stride=max(len(x) for x in lists))
         new, terms, rows = _matrix(lists, weight, whole)
+        space, queries = np.zeros((len(vocabulary), 1), np.float32), np.zeros((0, 1), np.float32)
         if len(new):
             space = latent_space(spark, docs, vocabulary, weight, lists, s)
-            model = (vocabulary, weight, space, _vectors(new, terms, weight, space), [worded[int(r)] for r in rows[:, 0]])
+            queries = _vectors(new, terms, weight, space)
+        model = (vocabulary, weight, space, queries, [worded[int(r)] for r in rows[:, 0]], index, worded)
     shipped = spark.sparkContext.broadcast(model)  # of a size set by block_items and rank
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +339,23 @@ def _search(spark: SparkSession, docs: DataFrame, items: list[tuple[int, bytes]]
             bodies = texts(batch.column("text"))
             hits: list[dict[int, float]] = [{} for _ in bodies]
             for i, j in _batches(bodies) if m else ():
-                vocabulary, weight, space, queries, worded = m
+                vocabulary, weight, space, queries, worded, index, all_items = m
                 terms = _Terms(vocabulary)
                 words = [words_of(b) for b in bodies[i:j]]
-                new, at, rows = _matrix([terms.of(w) for w in words], weight, s)
+                lists = [terms.of(w) for w in words]
+                for doc, x in enumerate(lists):
+                    for q, places in index.candidates(x).items():
+                        item_id, item = all_items[q]
+                        for start, end in _stretches(sorted(places), len(item)):
+                            share = check_pair(item, words[doc][start:end], s)
+                            if share > hits[i + doc].get(item_id, 0.0):
+                                hits[i + doc][item_id] = share
+                new, at, rows = _matrix(lists, weight, s)
                 for lo in range(0, len(new), 4096):
                     hi = min(len(new), lo + 4096)
                     x = slice(new[lo], new[hi] if hi < len(new) else len(at))
                     near = _vectors(new[lo:hi] - new[lo], at[x], weight, space) @ queries.T
-                    around, longest = -1, max(len(w) for _, w in worded)
+                    around, longest = -1, max((len(w) for _, w in worded), default=0)
                     for r, q in zip(*(x.tolist() for x in np.nonzero(near >= s.cosine)), strict=True):
                         item_id, item = worded[q]
                         if r != around:

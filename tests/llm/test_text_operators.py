@@ -482,3 +482,22 @@ def test_leaks(spark, odd):
     assert decontaminate.find_leaks(spark, odd, b).count() == len(ODD)
     assert decontaminate.find_leaks(spark, odd, b.where("false")).count() == len(ODD)
     assert decontaminate.find_leaks(spark, empty(odd), b).count() == 0
+
+
+def test_items_that_are_there_word_for_word_are_found(spark):
+    """All pairs of items of 1 to 19 words, cut from documents, that brute force finds; a block of 4000 items."""
+    rng, vocabulary = np.random.default_rng(3), [f"w{i}" for i in range(2500)]
+    rows = [(i, " ".join(rng.choice(vocabulary, 150)), None, None) for i in range(400)]
+    items = []
+    for i in range(4000):
+        w, n = rows[i % 400][1].split(), 2 + i % 18
+        at = int(rng.integers(0, 150 - n))
+        items.append((i, " ".join(w[at : at + n])))
+    items += [(4000, "w7"), (4001, "zz w8"), (4002, "zz yy xx")]
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.doc_id: set(r["items"]) for r in decontaminate.find_leaks(spark, docs(spark, rows), b, decontaminate.Settings(block_items=5000)).collect()}
+    padded = [f" {t} " for _, t, _, _ in rows]
+    assert sum(len(x) for x in got.values()) > 4000
+    for d, t in enumerate(padded):
+        assert {i for i, x in items if f" {x} " in t} <= got[d]
+        assert all(f" {items[i][1]} " in t for i in got[d] if len(items[i][1].split()) < 8)
