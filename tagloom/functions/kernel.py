@@ -6,6 +6,7 @@ The source is compiled once for each driver and the jar is handed to the session
 from __future__ import annotations
 
 import os
+import pkgutil
 import shutil
 import subprocess
 import tempfile
@@ -13,7 +14,7 @@ import zipfile
 from functools import lru_cache
 from pathlib import Path
 
-import pyspark
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,17 +47,52 @@ FUNCTIONS = (
 )
 
 
+def class_path(spark: SparkSession) -> str:
+    """The class path of the running JVM, which has Spark's jars however Spark was installed (also as a zip)."""
+    system = spark.sparkContext._jvm.java.lang.System
+    parts = [p for p in system.getProperty("java.class.path").split(os.pathsep) if p]
+    for home in (os.environ.get("SPARK_HOME"), system.getenv("SPARK_HOME")):
+        if home:
+            parts.append(f"{home}/jars/*")
+    return os.pathsep.join(dict.fromkeys(parts))
+
+
+def compile_java(spark: SparkSession, source: Path, classes: Path) -> None:
+    """Compile with the compiler of the driver's own JVM, or with javac where that JVM has none."""
+    args = ["-nowarn", "-cp", class_path(spark), "-d", str(classes), str(source)]
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    try:
+        compiler = jvm.java.lang.Class.forName("com.sun.tools.javac.Main")
+    except Py4JJavaError:
+        compiler = None
+    if compiler is not None:
+        argv = gateway.new_array(jvm.java.lang.String, len(args))
+        for i, a in enumerate(args):
+            argv[i] = a
+        errors = jvm.java.io.StringWriter()
+        failed, message = jvm.com.sun.tools.javac.Main.compile(argv, jvm.java.io.PrintWriter(errors)), errors.toString()
+    else:
+        home = os.environ.get("JAVA_HOME") or jvm.java.lang.System.getProperty("java.home")
+        javac = shutil.which("javac") or shutil.which("javac", path=f"{home}/bin")
+        if not javac:
+            raise RuntimeError("geometry functions need a Java compiler (a JDK) on the driver")
+        done = subprocess.run([javac, *args], capture_output=True, text=True)
+        failed, message = done.returncode, done.stderr
+    if failed:
+        raise RuntimeError(f"geometry functions do not compile:\n{message}")
+
+
 @lru_cache(maxsize=1)
-def jar_path() -> str:
+def jar_path(spark: SparkSession) -> str:
     """Compile the Java source to a jar in a temporary folder of the driver."""
     source = Path(__file__).with_name("java") / "tagloom" / "Geo.java"
-    home = os.environ.get("JAVA_HOME")
-    javac = shutil.which("javac") or (home and shutil.which("javac", path=f"{home}/bin"))
-    if not javac:
-        raise RuntimeError("geometry functions need a Java compiler (javac) on the driver")
     out = Path(tempfile.mkdtemp(prefix="tagloom-geo-"))
-    jars = Path(pyspark.__file__).parent / "jars"
-    subprocess.run([javac, "-nowarn", "-cp", f"{jars}/*", "-d", str(out / "classes"), str(source)], check=True, capture_output=True)
+    text = pkgutil.get_data(__package__, "java/tagloom/Geo.java")  # also from a zip
+    if not source.exists():
+        source = out / "Geo.java"
+        source.write_bytes(text)
+    (out / "classes").mkdir()
+    compile_java(spark, source, out / "classes")
     jar = out / "tagloom-geo.jar"
     with zipfile.ZipFile(jar, "w") as z:
         for f in sorted((out / "classes").rglob("*.class")):
@@ -67,7 +103,7 @@ def jar_path() -> str:
 def register(spark: SparkSession) -> SparkSession:
     """Make the functions known to the session; does nothing the second time."""
     if not spark.catalog.functionExists("geo_line"):
-        spark.sql(f"ADD JAR '{jar_path()}'")
+        spark.sql(f"ADD JAR '{jar_path(spark)}'")
         for name, cls, kind in FUNCTIONS:
             spark.udf.registerJavaFunction(name, f"tagloom.Geo${cls}", kind)
     return spark

@@ -84,6 +84,34 @@ def test_line_and_polygon_limits(geo):
     assert one(geo, kernel.area(kernel.polygon(xs(0, 2, 2, 0), xs(0, 0, 2, 0))))[0] == 2
 
 
+def test_functions_compile_where_spark_is_a_zip(tmp_path):
+    """A fresh Python that takes pyspark from its zip, as a cluster's driver may."""
+    import glob
+    import os
+    import subprocess
+    import sys
+
+    import pyspark
+
+    home = os.path.dirname(pyspark.__file__)
+    zips = glob.glob(f"{home}/python/lib/*.zip")
+    if not zips:
+        pytest.skip("no zip of pyspark here")
+    code = """
+import pyspark
+from pyspark.sql import SparkSession, functions as F
+from tagloom.functions import kernel
+assert ".zip" in pyspark.__file__, pyspark.__file__
+s = kernel.register(SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate())
+print("found", s.range(1).select(kernel.kind(kernel.point(F.lit(1.0), F.lit(2.0)))).first()[0])
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "run.py").write_text(code)
+    env = dict(os.environ, SPARK_HOME=home, PYTHONPATH=os.pathsep.join([*zips, root]))
+    done = subprocess.run([sys.executable, str(tmp_path / "run.py")], env=env, capture_output=True, text=True, timeout=180, check=False)
+    assert "found Point" in done.stdout, done.stderr[-2000:]
+
+
 def test_ewkb(geo):
     h = one(geo, geometry.ewkb_hex(kernel.point(F.lit(1.0), F.lit(2.0)), 3857))[0]
     assert h == "0101000020110F0000000000000000F03F0000000000000040"
@@ -108,6 +136,23 @@ def test_clip(geo):
     assert parts("POLYGON((5 5, 15 5, 15 15, 5 15, 5 5))")[0][2] == 25
 
 
+def test_halved_limit_covers_the_whole_and_clips_the_same(geo):
+    """A wavy outline of many corners: its parts add up to it, and clipping by a part is clipping by the whole."""
+    n = 600
+    ring = [[(10 + math.sin(11 * t)) * math.cos(t), (10 + math.sin(11 * t)) * math.sin(t)] for t in (2 * math.pi * i / n for i in range(n))]
+    area = Limit.of(geo, geojson.parse('{"type": "Polygon", "coordinates": [%s]}' % [*ring, ring[0]]), 4326)
+    whole = F.lit(bytearray(area.wkb))
+    cells = geo.range(1).select(F.explode(F.call_function("geo_cells", whole, F.lit(0.5))).alias("g"))
+    n_cells, total = cells.agg(F.count("g"), F.sum(kernel.area(F.col("g")))).first()
+    assert n_cells > 4 and total == pytest.approx(geo.range(1).select(kernel.area(whole)).first()[0], rel=1e-9)
+    boxes = geo.range(400).select((F.col("id") % 20 * 1.2 - 12).alias("x"), (F.floor(F.col("id") / 20) * 1.2 - 12).alias("y"))
+    g = kernel.polygon(F.array("x", F.col("x") + 1, F.col("x") + 1, "x", "x"), F.array("y", "y", F.col("y") + 1, F.col("y") + 1, "y"))
+    cut = lambda c: F.round(kernel.area(c), 9)
+    both = boxes.select(area.parts(g).alias("p"), cut(kernel.call("ST_Intersection", g, whole)).alias("b"))
+    rows = both.select(F.when(F.size("p") > 0, cut(F.get("p", F.lit(0)))).otherwise(0.0).alias("a"), "b").collect()
+    assert all(abs(r.a - r.b) < 1e-6 for r in rows) and sum(0 < r.b < 1 for r in rows) > 20
+
+
 def test_near(geo):
     nodes = geo.createDataFrame([(1, 5.0, 5.0), (2, 10.5, 5.0), (3, 12.0, 5.0)], "id bigint, lon double, lat double")
     assert {r.id for r in limit(geo, buffer=1.0).near(nodes).collect()} == {1, 2}
