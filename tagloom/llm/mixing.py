@@ -1,197 +1,141 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions alone.
 
-Block j of a source with n blocks in a period of D slots is released at slot floor(j D / n) and due by slot
-ceil((j + 1) D / n). Earliest deadline first, over released blocks, meets every deadline when the n add up to D,
-so after any number of slots a source is less than one block away from its target. The schedule of one period
-is folded by a SQL aggregate and is repeated; a document's place in the output is then closed arithmetic.
-
-mix() keeps to weights rounded to whole blocks of one period, as the SQL of op1_mixing does, so against the weights
-themselves its error grows with the rows. mix_to_weights() takes the rounding error of each period into the next:
-its periods have quotas of their own, and it stays less than two blocks away from the weights in every prefix.
+Target weights are fractions, so over whole numbers w that are in proportion to them, and add up to W, the schedule
+repeats after W slots: block j of a source is released at slot floor(j W / w) and due by slot ceil((j + 1) W / w).
+Earliest deadline first, over released blocks, meets every deadline. So after any number of slots, in any number of
+periods, a source is less than one block away from its target. One period is folded by a SQL aggregate; a document's
+place in the output is then closed arithmetic.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import math
+from collections.abc import Callable
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 from .ranks import rank_within
 
-MAX_SOURCES = 4096
+#: Numbers in a schedule up to which it is broadcast; a larger one is joined by a shuffle.
+SMALL_PLAN = 2_000_000
+ADDED = ("source_rank", "block", "slot", "position")
+
+
+def default_weights(counts: list[int], about: int = 1000) -> list[int]:
+    """Whole numbers, one at least, near the square roots of the sources' sizes and adding up to about `about`."""
+    total = sum(n**0.5 for n in counts)
+    return [max(1, int(about * n**0.5 / total + 0.5)) for n in counts]
+
+
+def whole_weights(weights: list) -> list[int]:
+    """The least whole numbers in exactly the proportions of some weights; a float is the decimal that it prints as."""
+    exact = [Fraction(str(w)) if isinstance(w, float) else Fraction(w) for w in weights]
+    if min(exact) < 0:
+        raise ValueError("a weight is negative")
+    scale = math.lcm(*(x.denominator for x in exact))
+    whole = [int(x * scale) for x in exact]
+    return [x // (math.gcd(*whole) or 1) for x in whole]
 
 
-def quotas(sources: list[tuple[str | None, int]], weights: dict[str | None, float] | None, period: int) -> list[int]:
-    """Blocks of each source in a period of about `period` slots: one at least. Default weights: roots of the counts."""
-    w = [n**0.5 if weights is None else weights.get(s, 0.0) for s, n in sources]
-    total = sum(w)
-    if total <= 0:
-        raise ValueError("no source has a weight")
-    return [max(1, int(period * x / total + 0.5)) for x in w]
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def schedule(spark: SparkSession, n: list[int]) -> DataFrame:
-    """One period: rows (source_no, block_no, slot, before), before being the blocks of each source in earlier slots."""
-    slots = _slots(F.array(*[F.lit(x) for x in n]), F.lit(sum(n)), len(n))
-    return spark.range(1).select(F.posexplode(slots).alias("slot", "x")).select(F.col("slot").cast("long"), "x.*")
+def _longs(values: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
 
 
-def _slots(quota: Column, period: Column, n_sources: int) -> Column:
-    """The slots of a period, an array of (source_no, block_no, before); the quotas add up to the period, 1 or more."""
+def schedule(spark: SparkSession, weights: list[int], slots: int | None = None, chunk: int = 256) -> DataFrame:
+    """The first slots of a period: rows (slot, source_no, block_no, before), before being the blocks of each source in
+    earlier slots. The fold takes a step for each slot and source; slots are gathered by chunks, so none is copied often."""
+    total, quota = F.lit(sum(weights)), _longs(weights)
+    n = F.lit(sum(weights) if slots is None else slots)
+    kind = "array<struct<source_no:int,block_no:bigint,before:array<bigint>>>"
+
+    def pick(done: Column, t: Column) -> Column:
+        """The released block of the earliest deadline; of equal ones that of the first source."""
+        w = lambda i: F.get(quota, i)
+        released = lambda d, i: (d < w(i)) & (F.floor(d * total / w(i)) <= t)
+        return F.array_min(F.transform(done, lambda d, i: F.when(released(d, i), F.struct(F.ceil((d + 1) * total / w(i)).alias("due"), i.alias("i")))))["i"]
 
     def step(acc: Column, t: Column) -> Column:
-        due = F.transform(
-            acc["done"],
-            lambda d, i: F.when(
-                (d < F.get(quota, i)) & (F.floor(d * period / F.greatest(F.get(quota, i), F.lit(1))) <= t),
-                F.struct(F.ceil((d + 1) * period / F.greatest(F.get(quota, i), F.lit(1))).cast("int").alias("due"), i.alias("i")),
+        return _let(
+            pick(acc["done"], t),
+            lambda p: F.struct(
+                F.transform(acc["done"], lambda d, i: F.when(i == p, d + 1).otherwise(d)).alias("done"),
+                F.concat(acc["out"], F.array(F.struct(p.alias("source_no"), F.get(acc["done"], p).alias("block_no"), acc["done"].alias("before")))).alias("out"),
             ),
         )
-        pick = F.array_min(F.array_compact(due))["i"]
-        return F.struct(
-            F.transform(acc["done"], lambda d, i: F.when(i == pick, d + 1).otherwise(d)).alias("done"),
-            F.concat(acc["out"], F.array(F.struct(pick.alias("source_no"), F.get(acc["done"], pick).alias("block_no"), acc["done"].alias("before")))).alias("out"),
-        )
-
-    start = F.struct(F.array_repeat(F.lit(0), n_sources).alias("done"), F.expr("cast(array() as array<struct<source_no:int,block_no:int,before:array<int>>>)").alias("out"))
-    return F.aggregate(F.sequence(F.lit(0), period - 1), start, step, lambda acc: acc["out"])
 
+    def some(done: Column, first: Column) -> Column:
+        start = F.struct(done.alias("done"), F.expr(f"cast(array() as {kind})").alias("out"))
+        return F.aggregate(F.sequence(first, F.least(first + chunk, n) - 1), start, step)
 
-def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = 16, period: int = 1000) -> DataFrame:
-    """Add source_rank, block, slot and position to docs (which has doc_id, text, source and any other columns).
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), len(weights)).alias("done"), F.expr(f"cast(array() as array<{kind}>)").alias("out"))
+    chunks = F.aggregate(
+        F.sequence(F.lit(0), n - 1, F.lit(chunk)), start, lambda acc, c: _let(some(acc["done"], c), lambda r: F.struct(r["done"].alias("done"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+    )
+    return spark.range(1).select(F.posexplode(F.flatten(chunks["out"])).alias("slot", "x")).select(F.col("slot").cast("long"), "x.*")
+
+
+def _places(spark: SparkSession, ranked: DataFrame, sources: list[tuple[str | None, int, int]], block_rows: int, first_slot: int, first_position: int) -> tuple[DataFrame, int, int]:
+    """Rows of some sources (name, rows, weight) with _slot and _position, and the first slot and position after them."""
+    counts, w = [n for _, n, _ in sources], [x for _, _, x in sources]
+    blocks, period = [-(-n // block_rows) for n in counts], sum(w)
+    # No block is due later, so a longer period is not folded to its end.
+    slots = min(period, max(-(-min(b, x) * period // x) for b, x in zip(blocks, w, strict=True)))
+    names = spark.createDataFrame([(s, i, x) for i, (s, _, x) in enumerate(sources)], "_s string, source_no int, _w long")
+    plan = schedule(spark, w, slots).withColumnRenamed("slot", "_at").withColumnRenamed("block_no", "_b")
+    if slots * len(w) <= SMALL_PLAN:
+        names, plan = F.broadcast(names), F.broadcast(plan)
+    d = ranked.join(names, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_block", F.floor(F.col("_rank") / block_rows))
+    d = d.withColumns({"_b": F.col("_block") % F.col("_w"), "_round": F.floor(F.col("_block") / F.col("_w"))}).join(plan, ["source_no", "_b"])
+    had = F.zip_with(F.zip_with("before", _longs(w), lambda b, x: (F.col("_round") * x + b) * block_rows), _longs(counts), lambda a, c: F.least(a, c))
+    earlier = F.aggregate(had, F.lit(0).cast("long"), lambda a, x: a + x)
+    d = d.withColumn("_slot", F.lit(first_slot) + F.col("_round") * period + F.col("_at"))
+    d = d.withColumn("_position", F.lit(first_position) + earlier + F.col("_rank") % block_rows)
+    return d, first_slot + period * max(-(-b // x) for b, x in zip(blocks, w, strict=True)), first_position + sum(counts)
+
+
+def mix(spark: SparkSession, docs: DataFrame, weights: dict | None = None, block_rows: int = 16, about: int = 1000, added: tuple[str, str, str, str] = ADDED) -> DataFrame:
+    """Add source_rank, block, slot and position (or other names, `added`) to docs, which has doc_id, text and source.
 
     Within a source, documents come in the order of an md5 of doc_id and text, cut into blocks of block_rows.
     slot is the block's slot in the schedule; position (0-based, without gaps) is the document's place when the
     blocks are read by slot. All rows are kept: when a source has run out, its slots stay empty and the others
-    go on at their relative weights. `weights` gives the target of each source (at least one block in a period is
-    given to each); by default they follow the square roots of the sources' sizes. A null source is a source; null
-    ids and texts count as empty in the order; repeated rows get places of their own; an empty table gives none.
-    Input columns named like those added are replaced.
+    go on at their relative weights. `weights` gives the target of each source, taken exactly; sources of weight 0 or
+    not in it come after all others, among themselves by default_weights(), which is what all sources have when no
+    weights are given. A schedule has as many slots as the weights in whole numbers add up to, or as the documents
+    need if these are fewer. The driver holds a name and two numbers for each source. A null source is a source; null
+    ids and texts count as empty in the order; very long texts travel whole, once; repeated rows get places of their
+    own; an empty table gives none. Input columns named like those added are replaced; others may have any name.
     """
-    docs = docs.drop("source_rank", "block", "slot", "position")
-    sources = [(r["source"], r["count"]) for r in docs.groupBy("source").count().orderBy("source").limit(MAX_SOURCES + 1).collect()]
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    added = {"source_rank": "long", "block": "long", "slot": "long", "position": "long"}
-    if not sources:
-        return docs.withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
-    n, total = quotas(sources, weights, period), [c for _, c in sources]
-    key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("text")))
-    # The row travels as one value, so its columns cannot clash with those made here.
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "source", key.alias("_key"))
-    ranked = rank_within(packed, ["source"], F.col("_key"), sum(total), "source_rank")
-    # Bounded: MAX_SOURCES rows, and the slots of one period.
-    names = spark.createDataFrame([(s, i, q) for i, ((s, _), q) in enumerate(zip(sources, n, strict=True))], "_s string, source_no int, quota int")
-    ranked = ranked.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    ranked = ranked.withColumn("block", F.floor(F.col("source_rank") / block_rows)).withColumn("block_no", (F.col("block") % F.col("quota")).cast("int"))
-    plan = schedule(spark, n).withColumnRenamed("slot", "_slot")
-    placed = ranked.join(F.broadcast(plan), ["source_no", "block_no"]).withColumn("_round", F.floor(F.col("block") / F.col("quota")))
-    limits = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(c).cast("long").alias("c")) for q, c in zip(n, total, strict=True)])
-    earlier = F.aggregate(
-        F.zip_with(F.col("before"), limits, lambda b, x: F.least(x["c"], (F.col("_round") * x["q"] + b) * block_rows)), F.lit(0).cast("long"), lambda a, x: a + x
-    )
-    return placed.select(
-        "_row.*",
-        F.col("source_rank").cast("long"),
-        F.col("block").cast("long"),
-        (F.col("_round") * sum(n) + F.col("_slot")).cast("long").alias("slot"),
-        (earlier + F.col("source_rank") % block_rows).cast("long").alias("position"),
-    )
-
-
-def _run_outs(weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """When sources with a weight run out: blocks for each unit of weight until then, and slots until then."""
-    w, b = weights[weights > 0], blocks[weights > 0]
-    ends = np.unique(b / w)
-    return ends, np.array([np.minimum(b, w * v).sum() for v in ends])
-
-
-def targets(weights: np.ndarray, blocks: np.ndarray, t: int) -> np.ndarray:
-    """Blocks of each source that t slots should hold: in proportion to the weights, of which those of sources that have
-    run out go to the others. Sources of weight 0 come when all others have run out, in proportion to their blocks."""
-    on = weights > 0
-    if t > (first := blocks[on].sum()):
-        rest = np.where(on, 0, blocks)
-        return np.where(on, blocks, rest * ((t - first) / rest.sum()))
-    ends, filled = _run_outs(weights, blocks)
-    k = min(int(np.searchsorted(filled, t - 1e-6)), len(ends) - 1)
-    low, base = (ends[k - 1], filled[k - 1]) if k else (0.0, 0.0)
-    return np.minimum(blocks, weights * (low + (t - base) * (ends[k] - low) / (filled[k] - base)))
-
-
-def period_quotas(weights: list[float], blocks: list[int], period: int) -> list[np.ndarray]:
-    """Blocks of each source in each period, earliest deadline first over whole periods. Their sums from the first on are
-    less than one block away from targets(). A period has `period` slots, or fewer up to where a source runs out."""
-    w, b = np.array(weights, float), np.array(blocks, np.int64)
-    done, out, total = np.zeros(len(b), np.int64), [], int(b.sum())
-    pace = np.where(w > 0, w, 1e-300)
-    stops = {int(x + 1e-6) for x in _run_outs(w, b)[1]} - {0}
-    for t in sorted({*range(period, total, period), *stops, total}):
-        aim = targets(w, b, t)
-        new = np.minimum(np.maximum(done, np.floor(aim + 1e-6).astype(np.int64)), b)
-        free = np.flatnonzero(new < np.minimum(np.ceil(aim - 1e-6), b))
-        new[free[np.argsort((new[free] + 1) / pace[free], kind="stable")][: t - int(new.sum())]] += 1
-        if new.sum() != t:
-            raise AssertionError("a period is not full")
-        out.append(new - done)
-        done = new
-    return out
-
-
-def mix_to_weights(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = 16, period: int = 1000) -> DataFrame:
-    """mix(), held to the weights themselves: after any number of slots a source is less than two blocks away from its
-    target while no source has run out, whatever the number of rows.
-
-    When a source has run out, the others take its slots at their relative weights, so no slot stays empty. Sources of
-    weight 0, or not in `weights`, come after all others. The driver holds the quotas of each period (a number for each
-    source and `period` blocks); each period is folded by a task, and two numbers for each block are broadcast.
-    """
-    docs = docs.drop("source_rank", "block", "slot", "position")
-    sources = [(r["source"], r["count"]) for r in docs.groupBy("source").count().orderBy("source").limit(MAX_SOURCES + 1).collect()]
-    if len(sources) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    added = {"source_rank": "long", "block": "long", "slot": "long", "position": "long"}
-    if not sources:
-        return docs.withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
-    w, counts = [n**0.5 if weights is None else weights.get(s, 0.0) for s, n in sources], [c for _, c in sources]
-    if min(w) < 0 or sum(w) <= 0:
-        raise ValueError("weights are negative, or no source has one")
-    rows, done = [], np.zeros(len(w), np.int64)
-    for k, q in enumerate(period_quotas(w, [-(-c // block_rows) for c in counts], period)):
-        rows.append((k, int(q.sum()), q.tolist(), done.tolist(), int(done.sum())))
-        done = done + q
-    plan = spark.createDataFrame(rows, "k long, n int, quota array<int>, done array<long>, slot long").repartition(len(rows), "k")
-    plan = plan.select("done", "slot", F.posexplode(_slots(F.col("quota"), F.col("n"), len(w))).alias("_s", "x"))
-    limits = F.array(*[F.lit(c).cast("long") for c in counts])
-    had = F.zip_with(F.zip_with("done", "x.before", lambda d, b: d + b), limits, lambda b, c: F.least(c, b * block_rows))
-    plan = plan.select(
-        F.col("x.source_no").alias("source_no"),
-        (F.get("done", F.col("x.source_no")) + F.col("x.block_no")).alias("_block"),
-        (F.col("slot") + F.col("_s")).alias("_slot"),
-        F.aggregate(had, F.lit(0).cast("long"), lambda a, x: a + x).alias("_start"),
-    )
-    # Packed, so that a block takes 24 bytes.
-    plan = plan.groupBy("source_no", F.floor(F.col("_block") / 256).alias("_chunk")).agg(F.array_sort(F.collect_list(F.struct("_block", "_slot", "_start"))).alias("_places"))
-    key = F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("text")))
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "source", key.alias("_key"))
-    ranked = rank_within(packed, ["source"], F.col("_key"), sum(counts), "source_rank")
-    names = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(sources)], "_s string, source_no int")
-    ranked = ranked.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    ranked = ranked.withColumn("block", F.floor(F.col("source_rank") / block_rows)).withColumn("_chunk", F.floor(F.col("block") / 256))
-    placed = ranked.join(F.broadcast(plan), ["source_no", "_chunk"]).withColumn("_at", F.get("_places", (F.col("block") % 256).cast("int")))
-    return placed.select(
-        "_row.*",
-        F.col("source_rank").cast("long"),
-        F.col("block").cast("long"),
-        F.col("_at._slot").alias("slot"),
-        (F.col("_at._start") + F.col("source_rank") % block_rows).cast("long").alias("position"),
-    )
-
-
-def op1_exact_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix_to_weights(spark, docs).select("doc_id", "source", "block", "slot", "position")
+    docs = docs.drop(*added)
+    # Numbered columns cannot clash with those made here, and those that nobody reads are not shuffled.
+    inner = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    d = docs.toDF(*inner.values()).withColumn("source", F.col(inner["source"]))
+    counted = [(r["source"], r["count"]) for r in d.groupBy("source").count().orderBy("source").collect()]
+    given = [(s, n, 0 if weights is None else weights.get(s, 0)) for s, n in counted]
+    exact = whole_weights([w for *_, w in given]) if given else []
+    first = [(s, n, w) for (s, n, _), w in zip(given, exact, strict=True) if w]
+    rest = [(s, n) for (s, n, _), w in zip(given, exact, strict=True) if not w]
+    if rest:
+        usual = whole_weights(default_weights([n for _, n in rest], about))
+        rest = [(s, n, w) for (s, n), w in zip(rest, usual, strict=True)]
+    key = F.md5(F.concat_ws("|", F.col(inner["doc_id"]).cast("string"), F.col(inner["text"])))
+    ranked = rank_within(d, ["source"], key, sum(n for _, n in counted), "_rank")
+    out, slot, position = None, 0, 0
+    for part in (first, rest):
+        if part:
+            placed, slot, position = _places(spark, ranked, part, block_rows, slot, position)
+            made = dict(zip(added, ("_rank", "_block", "_slot", "_position"), strict=True))
+            placed = placed.select(*[F.col(v).alias(k) for k, v in inner.items()], *[F.col(v).cast("long").alias(k) for k, v in made.items()])
+            out = placed if out is None else out.unionAll(placed)
+    return docs.withColumns({c: F.lit(None).cast("long") for c in added}) if out is None else out
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

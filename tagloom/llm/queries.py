@@ -4,7 +4,6 @@ from . import chat, decontaminate, language, minhash, mixing, ppm, quality, suff
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
-    "op1_exact_mixing": mixing.op1_exact_mixing,
     "op2_token_output": token_output.op2_token_output,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,

@@ -346,7 +346,7 @@ def test_schedule_is_fair(spark, n):
 
 def test_mixing_places_every_row(spark, odd):
     rows = [(i, str(i), None, "abc"[min(i % 7, 2)]) for i in range(500)] + [(i, None, None, None) for i in range(20)]
-    out = mixing.mix(spark, docs(spark, rows), {"a": 1, "b": 1, "c": 2, None: 1}, block_rows=4, period=50).collect()
+    out = mixing.mix(spark, docs(spark, rows), {"a": 1, "b": 1, "c": 2, None: 1}, block_rows=4).collect()
     assert sorted(r.position for r in out) == list(range(520))
     order = sorted(out, key=lambda r: r.position)
     assert [r.slot for r in order] == sorted(r.slot for r in out)
@@ -357,37 +357,37 @@ def test_mixing_places_every_row(spark, odd):
     assert e.count() == 0 and "position" in e.columns
 
 
-@pytest.mark.parametrize("w,b", [([577**0.5] + [61**0.5] * 19, [500_000] * 20), ([1, 0.0001], [90_000, 90_000]), ([1] * 300, [40] * 300), ([3, 2, 0, 1], [50, 900, 70, 3])])
-def test_quotas_of_many_periods_keep_to_the_weights(w, b):
-    """The first is a source with a third of the rows and 19 equal ones, over 60 periods, none of which runs out."""
-    have, w, b = np.zeros(len(w)), np.array(w, float), np.array(b)
-    for q in mixing.period_quotas(w, b, 1000)[:60]:
-        have += q
-        t = int(have.sum())
-        assert 0 < q.sum() <= 1000 and (q >= 0).all() and (have <= b).all()
-        assert (np.abs(have - mixing.targets(w, b, t)) < 1).all()
-        if (w * t / w.sum() <= b).all():
-            assert (np.abs(have - w * t / w.sum()) < 1).all()
-        assert t > b[w > 0].sum() or not have[w == 0].any()
-
-
-def test_every_prefix_keeps_to_the_weights(spark, odd):
-    rows = [(i, str(i), None, "hot" if i < 2000 else f"s{i % 19}") for i in range(6000)] + [(i, "z", None, "none") for i in range(9)]
-    weights = {"hot": 577**0.5, **{f"s{i}": 61**0.5 for i in range(19)}}
-    out = sorted(mixing.mix_to_weights(spark, docs(spark, rows), weights, block_rows=2, period=50).collect(), key=lambda r: r.position)
-    assert [r.position for r in out] == list(range(6009)) and sorted({r.slot for r in out}) == list(range(max(r.slot for r in out) + 1))
-    assert [r.slot for r in out] == sorted(r.slot for r in out) and {r.source for r in out[-9:]} == {"none"}
-    have, total, left = Counter(), sum(weights.values()), Counter(r.source for r in out)
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 2, "c": 3, "d": 7}, {"a": 0.1, "b": 0.2, "c": 0.37, "d": 0.33}, {"a": 5, "b": 1, "c": 0, "e": 9}])
+def test_every_prefix_keeps_to_the_weights(spark, odd, weights):
+    """Less than one block from the weights themselves after every slot of many periods, until a source runs out."""
+    rows = [(i, str(i), None, "abcd"[i % 4]) for i in range(8000)] + [(i, "z", None, "none") for i in range(9)]
+    out = sorted(mixing.mix(spark, docs(spark, rows), weights, block_rows=2).collect(), key=lambda r: r.position)
+    assert [r.position for r in out] == list(range(8009)) and [r.slot for r in out] == sorted(r.slot for r in out)
+    have, total, sizes = Counter(), sum(weights.get(s, 0) for s in "abcd"), Counter(r.source for r in out)
     for t, r in enumerate(out, 1):
         have[r.source] += 1
         if t % 2 == 0:
-            assert all(abs(have[s] - t * weights[s] / total) < 4 for s in weights)
-        if have[r.source] > left[r.source] - 4:
+            assert r.slot == t // 2 - 1
+            assert all(abs(have[s] / 2 - t / 2 * weights.get(s, 0) / total) < 1 for s in "abcd")
+        if have[r.source] == sizes[r.source]:
             break
-    assert t > 3000  # 30 periods
-    assert mixing.mix_to_weights(spark, odd).count() == len(ODD)
-    e = mixing.mix_to_weights(spark, empty(odd))
-    assert e.count() == 0 and "position" in e.columns
+    assert t > 2390  # where the first source runs out
+    last = [s for s in (*"abcd", "none") if not weights.get(s, 0)]
+    assert {r.source for r in out[-sum(sizes[s] for s in last) :]} == set(last)
+
+
+def test_mixing_many_sources_and_clashing_names(spark):
+    rows = [(i, str(i), None, f"s{i % 1500}") for i in range(6000)]
+    d = docs(spark, rows).withColumns({"_rank": F.lit("r"), "_o": F.lit("o"), "slot": F.lit("mine")})
+    out = mixing.mix(spark, d, block_rows=2, added=("w", "x", "y", "z")).collect()
+    assert sorted(r.z for r in out) == list(range(6000)) and {(r["_rank"], r["_o"], r["slot"], r.block) for r in out} == {("r", "o", "mine", 5)}
+    assert mixing.whole_weights([0.1, 0.2, 3]) == [1, 2, 30] and mixing.whole_weights([50] * 3) == [1] * 3
+
+
+def test_mixing_a_very_long_text(spark):
+    rows = [(1, "long " * 2_000_000, None, "a"), *((i, str(i), None, "b") for i in range(2, 40))]
+    out = mixing.mix(spark, docs(spark, rows)).select("doc_id", "position", F.length("text").alias("n")).collect()
+    assert sorted(r.position for r in out) == list(range(39)) and max(r.n for r in out) == 10_000_000
 
 
 # --- chat ---
