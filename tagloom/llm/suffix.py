@@ -1,25 +1,25 @@
-"""Removal of repeated byte strings by merging Burrows-Wheeler shards.
-
-Two equal strings of `length` bytes choose the same anchor: the leftmost least of their k-gram hashes. So the
-suffixes that start such strings fall apart into independent collections, one for each anchor value, and every
-collection is small enough to merge in memory:
-
-* The suffixes that begin at the anchors are sorted once, and the common prefixes of neighbours are taken from
-  that order.
-* One refinement step goes one byte to the left, as a step of the Burrows-Wheeler transform does: the interleave
-  of all rows is stably refined by the byte before each suffix, and no suffix is sorted again. A row that is
-  alone in its block stays alone in all later steps and is dropped.
-* After step j the suffixes that start j bytes before the anchor form intervals; an interval whose common prefix
-  reaches `length` is a repeated string.
-
-A collection too large for one task is cut into shards. Each is refined alone, keeps one fingerprint (128 bits of
-the string) for each of its intervals, and the shards' intervals are merged by it.
+"""Removal of repeated byte strings by merging Burrows-Wheeler transforms of shards.
+
+Two equal strings of `length` bytes choose the same anchor: the leftmost least of their k-gram hashes. So the strings
+around one anchor value form a collection of their own, aligned at the anchor, and only anchors that two or more
+distinct contexts share are looked at further.
+
+* A shard is what one task holds of a collection. Its transform is built column by column from the right: column p holds
+  the bytes at place p in the order of the suffixes that start at p + 1, and stably sorting that order by them gives the
+  order of the suffixes at p. No suffix is compared with another.
+* The shards of a collection are merged by refining their interleave: at each column every shard hands out its next
+  bytes in its own order, and the interleave is stably sorted by them. The common prefix of neighbours is one more than
+  the least one between them a column before. Where it reaches `length` the neighbours' interval is a repeated string.
+* A collection too large for one task is split by a longer string that all its strings of one class of starts share;
+  classes are halved until a collection fits, or until a class is a single start and so all its strings are equal.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,131 +133,207 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
     return clear_batches(docs.select("key", "doc_id", "text")).mapInArrow(run, "key binary, doc_id long, n_bytes long, pos array<int>, lo array<int>, hi array<int>, h array<long>, c array<long>")
 
 
+_ROW = "g long, h long, c long, off int, n int, body binary"
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _record(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names)
+
+
 def take_bodies(wanted: DataFrame, length: int) -> DataFrame:
-    """(text, a) with a the contexts to take from text: rows (h, c, shard, off, n, body)."""
+    """(text, a) with a the contexts to take from text: rows (g, h, c, off, n, body), g being the collection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (a["h"], a["c"], a["shard"], a["pos"] - a["lo"], a["hi"] - a["lo"] + 1, text[a["lo"] : a["hi"] + length])
+                (a["h"], a["h"], a["c"], a["pos"] - a["lo"], a["hi"] - a["lo"] + 1, text[a["lo"] : a["hi"] + length])
                 for text, list_ in zip(texts(batch.column("text")), batch.column("a").to_pylist(), strict=True)
                 for a in list_
             ]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["h", "c", "shard", "off", "n", "body"])
+            yield _record(rows, _KINDS, ["g", "h", "c", "off", "n", "body"])
 
-    return clear_batches(wanted.select("text", "a"), 500).mapInArrow(run, "h long, c long, shard int, off int, n int, body binary")
+    return clear_batches(wanted.select("text", "a"), 500).mapInArrow(run, _ROW)
 
 
-def refine(group: np.ndarray, off: np.ndarray, n: np.ndarray, body: list[bytes], length: int, names: bool = False):
-    """Repeated windows of a set of rows, of which only those of one group are compared.
+def halve(rows: DataFrame, length: int) -> DataFrame:
+    """Rows of collections too large, with the class (low, high) of starts they are split by, to rows of both its halves.
 
-    Row i has windows at starts 0 .. n[i]-1 of body[i], and its anchor at off[i]. Returns a boolean matrix
-    (row, start); with `names`, also a matrix that is true where a window is the first of its interval.
+    A class holds the windows that start low .. high - 1 bytes before the anchor; all of them cover the bytes from `low`
+    before it to `length - high + 1` after, whose hash (g, g2) names the new collection.
     """
-    rows, width = len(body), int(n.max())
-    order = sorted(range(rows), key=lambda i: (group[i], body[i][off[i] :]))
-    group, off, n = group[order], off[order], n[order]
-    left_most = int(off.max())
-    right = np.zeros((rows, length), np.uint8)
-    left = np.zeros((rows, max(1, left_most)), np.uint8)
-    right_n = np.zeros(rows, np.int64)
-    for r, i in enumerate(order):
-        b, o = body[i], int(off[r])
-        x = np.frombuffer(b, np.uint8)
-        y = x[o : o + length]
-        right[r, : len(y)] = y
-        right_n[r] = len(y)
-        if o:
-            left[r, :o] = x[:o][::-1]
-    # Common prefixes of neighbours in the order of the anchors' suffixes; -1 between groups.
-    lcp = np.full(rows, -1, np.int64)
-    for s in range(1, rows, 20_000):
-        e = min(rows, s + 20_000)
-        differ = right[s:e] != right[s - 1 : e - 1]
-        lcp[s:e] = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
-    lcp[1:] = np.where(group[1:] == group[:-1], np.minimum(lcp[1:], np.minimum(right_n[1:], right_n[:-1])), -1)
-    repeated, firsts = np.zeros((rows, width), bool), np.zeros((rows, width), bool)
-    at = np.arange(rows)  # the interleave: rows by block, and within a block by their anchors' suffixes
-    block = np.cumsum(lcp < 0)
-    for j in range(left_most + 1):
-        if j:
-            c = left[at, j - 1].astype(np.int64)
-            alive = off[at] >= j
-            at, block, c = at[alive], block[alive], c[alive]
-            key = block * 256 + c
-            o = np.argsort(key, kind="stable")
-            at, key = at[o], key[o]
-            new = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
-            block = np.cumsum(new)
-        if not len(at):
-            break
-        # Windows that start j bytes before the anchor: intervals of this block and of a common prefix of length - j.
-        has = (off[at] - j < n[at]) & (right_n[at] >= length - j)
-        w, b = at[has], block[has]
-        if len(w):
-            reach = np.cumsum(lcp < length - j)  # equal for rows whose anchors' suffixes agree so far
-            same = (b[1:] == b[:-1]) & (reach[w[1:]] == reach[w[:-1]])
-            hit = np.zeros(len(w), bool)
-            hit[1:] |= same
-            hit[:-1] |= same
-            repeated[w[hit], off[w[hit]] - j] = True
-            lead = np.concatenate([[True], ~same])[: len(w)]
-            firsts[w[lead], off[w[lead]] - j] = True
-        if not names:
-            # A row alone in its block is alone in every later one.
-            alone = np.ones(len(at), bool)
-            alone[1:] &= block[1:] != block[:-1]
-            alone[:-1] &= block[1:] != block[:-1]
-            at, block = at[~alone], block[~alone]
-    back = np.empty(rows, np.int64)
-    back[order] = np.arange(rows)
-    return (repeated[back], firsts[back]) if names else repeated[back]
+    names = ["g", "g2", "h", "c", "off", "n", "body", "low", "high"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for h, c, off, n, body, low, high in zip(*(batch.column(x).to_pylist() for x in names[2:]), strict=True):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle, high)):
+                    if max(a, off - n + 1) <= min(b - 1, off):
+                        core = hashlib.blake2b(body[off - a : off + length - b + 1], digest_size=16, salt=a.to_bytes(4, "big") + b.to_bytes(4, "big")).digest()
+                        rows.append((int.from_bytes(core[:8], "big", signed=True), int.from_bytes(core[8:], "big", signed=True), h, c, off, n, body, a, b))
+            yield _record(rows, (pa.int64(), *_KINDS, pa.int32(), pa.int32()), names)
 
-def _runs(bits: np.ndarray) -> list[int]:
-    """Starts and ends of the true runs, one after another."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], bits.astype(np.int8), [0]])))
-    return edge.tolist()
+    return clear_batches(rows, 4000).mapInArrow(run, "g long, g2 long, h long, c long, off int, n int, body binary, low int, high int")
+
+
+def _symbols(rows: list[tuple], length: int) -> tuple[np.ndarray, int]:
+    """Bytes of rows (.., off, n, body) by column and row, from the last column to the first; -1 where a row has none.
+
+    The columns are aligned at the anchors; also the number of columns from the anchor on, at most `length`.
+    """
+    right = min(length, max(len(r[-1]) - r[-3] for r in rows))
+    left = max(r[-3] for r in rows)
+    out = np.full((len(rows), left + right), -1, np.int16)
+    for i, r in enumerate(rows):
+        off, x = r[-3], np.frombuffer(r[-1], np.uint8)
+        x = x[: off + right]
+        first = right - (len(x) - off)  # the column of its last byte
+        out[i, first : first + len(x)] = x[::-1]
+    return np.ascontiguousarray(out.T), right
+
+
+def transform(symbols: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The transforms of shards, side by side: each column in the order of the suffixes that start one place further on."""
+    at, out, key = np.arange(symbols.shape[1]), np.empty_like(symbols), group * 257
+    for p, column in enumerate(symbols):
+        out[p] = column[at]
+        at = at[np.argsort(key + out[p], kind="stable")]
+    return out
+
+
+def _least_between(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Least of x[lo .. hi] for each pair of places, from tables of doubling widths."""
+    size = hi - lo + 1
+    out = np.empty(len(lo), x.dtype)
+    level, width = x, 1
+    while True:
+        mine = np.flatnonzero((size >= width) & (size < 2 * width))
+        out[mine] = np.minimum(level[lo[mine]], level[hi[mine] - width + 1])
+        if not len(size) or 2 * width > size.max():
+            return out
+        level, width = np.minimum(level[:-width], level[width:]), 2 * width
 
 
-def _refine_all(length: int, names: bool):
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        rows = list({r[:3]: r for r in rows}.values())  # repeated input rows bring the same context again
-        groups = {g: i for i, g in enumerate(dict.fromkeys((r[0], r[2]) for r in rows))}
-        group = np.array([groups[r[0], r[2]] for r in rows])
-        off, n, body = np.array([r[3] for r in rows]), np.array([r[4] for r in rows]), [r[5] for r in rows]
-        got = refine(group, off, n, body, length, names)
-        repeated, firsts = got if names else (got, None)
-        hs, cs, runs, prints, places = [], [], [], [], []
-        for i, r in enumerate(rows):
-            bits = repeated[i, : n[i]]
-            mine = np.flatnonzero(firsts[i, : n[i]]) if names else []
-            if names or bits.any():
-                hs.append(r[0])
-                cs.append(r[1])
-                runs.append(_runs(bits))
-                prints.append([hashlib.blake2b(body[i][s : s + length], digest_size=16).digest() for s in mine])
-                places.append([int(s) for s in mine])
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((hs, cs, runs, prints, places), kinds, strict=True)], ["h", "c", "runs", "prints", "places"])
+def merge(shards: list[tuple[int, np.ndarray, int]], context: np.ndarray, length: int, far: int) -> np.ndarray:
+    """Merge shards, (collection, transform, columns from the anchor on), of which those of one collection are together.
+
+    Returns a boolean matrix by row (the shards' rows one after another) and j < far: whether the `length` bytes that
+    start j before the anchor are repeated in its collection, in another `context` (a number for each row).
+    """
+    sizes = [t.shape[1] for _, t, _ in shards]
+    total, right = sum(sizes), max(r for *_, r in shards)
+    left = max(t.shape[0] - r for _, t, r in shards)
+    columns = np.full((left + right, total), -1, np.int16)
+    start = 0
+    for (_, t, r), k in zip(shards, sizes, strict=True):
+        columns[right - r : right - r + len(t), start : start + k] = t
+        start += k
+    group = np.repeat(np.cumsum([1] + [a[0] != b[0] for a, b in zip(shards, shards[1:], strict=False)]) - 1, sizes)
+    copies = len(np.unique(context)) < total
+    z = np.repeat(np.arange(len(shards)), sizes)  # the interleave: shards in the order of all suffixes
+    row = np.arange(total)
+    common = np.zeros(total, np.int16)  # prefix that each suffix has in common with the one before it
+    repeated = np.zeros((total, far), bool)
+    byte = np.empty(total, np.int16)
+    for p, column in enumerate(columns):
+        byte[np.argsort(z, kind="stable")] = column  # every shard hands out its bytes in its own order
+        o = np.argsort(group * 257 + byte, kind="stable")  # collections are together already, and stay where they are
+        z, row, mine = z[o], row[o], byte[o]
+        same = np.flatnonzero((mine[1:] == mine[:-1]) & (mine[1:] >= 0) & (group[1:] == group[:-1])) + 1
+        before, common = common, np.zeros(total, np.int16)
+        common[same] = np.minimum(_least_between(before, o[same - 1] + 1, o[same]) + 1, length)
+        if p >= right - 1 and p - right + 1 < far:
+            equal = common >= length
+            if copies:  # an interval of one context alone is no repeat
+                first = np.flatnonzero(~equal)
+                span = np.diff(np.append(first, total))
+                equal &= np.repeat(np.minimum.reduceat(context[row], first) != np.maximum.reduceat(context[row], first), span)
+            hit = np.flatnonzero(equal)
+            repeated[row[hit], p - right + 1] = repeated[row[hit - 1], p - right + 1] = True
+    return repeated
+
+
+_SHARD = "g long, h array<long>, c array<long>, off array<int>, n array<int>, right int, wide boolean, columns binary"
+
+
+def build_shards(rows: DataFrame, length: int, many: int = 8192) -> DataFrame:
+    """Rows (g, h, c, off, n, body) to the transforms of shards, which are what some `many` rows have of a collection."""
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.bool_(), pa.binary())
+
+    def flush(held: dict[int, dict[tuple, tuple]]) -> pa.RecordBatch:
+        groups = [list(distinct.values()) for distinct in held.values()]  # repeated input rows bring the same context again
+        rows = list(chain.from_iterable(groups))
+        symbols, right = _symbols(rows, length)
+        made = transform(symbols, np.repeat(np.arange(len(groups)), [len(x) for x in groups]))
+        out, start = [], 0
+        for g, mine in zip(held, groups, strict=True):
+            h, c, off, n, body = zip(*mine, strict=True)
+            r = min(length, max(len(b) - o for b, o in zip(body, off, strict=True)))
+            t = made[right - r : right + max(off), start : start + len(mine)]
+            wide = bool((t < 0).any())
+            out.append((g, h, c, off, n, r, wide, (t if wide else t.astype(np.uint8)).tobytes()))
+            start += len(mine)
+        return _record(out, kinds, ["g", "h", "c", "off", "n", "right", "wide", "columns"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[tuple, tuple]] = {}
+        count = 0
+        for batch in batches:
+            for g, *r in zip(*(batch.column(x).to_pylist() for x in ("g", "h", "c", "off", "n", "body")), strict=True):
+                held.setdefault(g, {})[r[0], r[1]] = tuple(r)
+                count += 1
+                if count >= many:
+                    yield flush(held)
+                    held, count = {}, 0
+        if held:
+            yield flush(held)
+
+    return clear_batches(rows.select("g", "h", "c", "off", "n", "body"), 4000).mapInArrow(run, _SHARD)
+
+
+def merge_shards(shards: DataFrame, length: int, many: int = 8192) -> DataFrame:
+    """Shards in the order of their collections within each partition, to (h, c, runs) of the contexts with repeats."""
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        parts = [(g, np.frombuffer(x, np.int16 if wide else np.uint8).reshape(-1, len(h)), right) for g, h, _, _, _, right, wide, x in held]
+        off = np.concatenate([r[3] for r in held])
+        number: dict[tuple, int] = {}
+        context = np.array([number.setdefault((r[0], *x), len(number)) for r in held for x in zip(r[1], r[2], strict=True)])
+        bits = merge(parts, context, length, int(off.max()) + 1)
+        rows, i = [], 0
+        for _, h, c, o, n, *_ in held:
+            for k in range(len(h)):
+                mine = bits[i, : o[k] + 1][::-1]  # by start in the context
+                if mine.any():
+                    rows.append((h[k], c[k], _runs(mine[: n[k]])))
+                i += 1
+        return _record(rows, (pa.int64(), pa.int64(), pa.list_(pa.int32())), ["h", "c", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come ordered by (h, shard): whole groups are refined together, some 20,000 rows at a time."""
         held: list[tuple] = []
+        count = 0
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("h", "c", "shard", "off", "n", "body")), strict=True):
-                if len(held) >= 20_000 and (r[0], r[2]) != (held[-1][0], held[-1][2]):
+            for r in zip(*(batch.column(x).to_pylist() for x in ("g", "h", "c", "off", "n", "right", "wide", "columns")), strict=True):
+                if count >= many and r[0] != held[-1][0]:
                     yield flush(held)
-                    held = []
+                    held, count = [], 0
                 held.append(r)
+                count += len(r[1])
         if held:
             yield flush(held)
 
-    return run
+    return clear_batches(shards, 500).mapInArrow(run, "h long, c long, runs array<int>")
+
+
+def _runs(bits: np.ndarray) -> list[int]:
+    """Starts and ends of the true runs, one after another."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], bits.astype(np.int8), [0]])))
+    return edge.tolist()
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows: int = 4000) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
     """For docs (doc_id, key, text) with key a digest of the text: classes (key, copies) and spans (key, hits).
 
     hits are the repeated windows of a class by context: lo, and starts and ends of runs of window starts after it.
@@ -271,37 +347,41 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, shard_rows
     shared = classes.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
     shared = cut(spark, shared, "shared")  # apart from the join, so that the join can split a hot anchor
     members = cut(spark, each.join(shared, "h"), "members")
-    # One representative for each distinct context. Anchors with one context have nothing to compare; those with very
-    # many are cut into shards.
+    # One representative for each distinct context. Anchors with one context have nothing to compare.
     forget(spark, shared)
     contexts = cut(spark, members.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos", "lo", "hi")).alias("at")), "contexts")
     sizes = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     sizes = cut(spark, sizes, "sizes")  # again apart from the join
-    shards = F.ceil(F.col("rows") / shard_rows)
-    shard = F.when(shards > 1, 1 + F.pmod(F.xxhash64("c"), shards)).otherwise(0).cast("int")
-    ask = contexts.join(sizes, "h").groupBy("at.id").agg(F.collect_list(F.struct("h", "c", shard.alias("shard"), "at.pos", "at.lo", "at.hi")).alias("a"))
+    ask = contexts.join(sizes, "h").groupBy("at.id").agg(F.collect_list(F.struct("h", "c", "at.pos", "at.lo", "at.hi")).alias("a"))
     ask = cut(spark, ask.join(classes.select("id", "rep", F.col("key").alias("k")), "id").select("rep", "k", "a"), "asked")
     bodies = docs.join(ask, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "a")
-    open_rows = cut(spark, take_bodies(bodies, length), "bodies")
-    made = "h long, c long, runs array<int>, prints array<binary>, places array<int>"
-
-    def refined(rows: DataFrame, names: bool) -> DataFrame:
-        dealt = rows.repartition(n_shuffle(spark), "h", "shard").sortWithinPartitions("h", "shard")
-        return clear_batches(dealt, 4000).mapInArrow(_refine_all(length, names), made)
-
-    plain = cut(spark, refined(open_rows.where("shard = 0"), False).select("h", "c", "runs"), "plain")
-    hot = cut(spark, refined(open_rows.where("shard > 0"), True), "hot")
-    forget(spark, open_rows, ask)
-    named = hot.select("h", "c", F.explode(F.arrays_zip("prints", "places")).alias("x")).select("h", "c", "x.*")
-    twice = named.groupBy("prints").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("prints")
-    across = named.join(twice, "prints").groupBy("h", "c").agg(F.flatten(F.collect_list(F.array("places", F.col("places") + 1))).alias("runs"))
+    rows = cut(spark, take_bodies(bodies, length), "bodies")
+    forget(spark, ask)
+    large = sizes.where(F.col("rows") > shard_rows).select(F.col("h").alias("g"))
+    fit, equal, used = [rows.join(large, "g", "left_anti")], [], [rows, sizes]
+    rest = rows.join(large, "g", "left_semi").withColumns({"low": F.lit(0), "high": F.lit(length - GRAM + 1)})
+    while not rest.isEmpty():
+        split = cut(spark, halve(rest, length), "split")
+        found = cut(spark, split.groupBy("g", "g2").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("h", "c")).alias("_a"), F.max(F.struct("h", "c")).alias("_z")).where("_a <> _z").drop("_a", "_z"), "found")
+        used += [split, found]
+        split = split.join(found, ["g", "g2"])
+        fit.append(split.where(F.col("_n") <= shard_rows).select("g", "h", "c", "off", "n", "body"))
+        rest = split.where(F.col("_n") > shard_rows).drop("_n")
+        start = F.col("off") - F.col("low")  # a class of one start: all its strings are equal
+        equal.append(rest.where("high - low = 1").select("h", "c", F.array(start, start + 1).alias("runs")))
+        rest = rest.where("high - low > 1").drop("g", "g2")
+    # Shards are built where the rows lie, so that transforms are what is shuffled.
+    shards = build_shards(reduce(DataFrame.union, fit), length)
+    dealt = shards.repartition(n_shuffle(spark), "g").sortWithinPartitions("g")
+    merged = cut(spark, reduce(DataFrame.union, equal, merge_shards(dealt, length)), "merged")
+    forget(spark, *used)
     # A context at two places: all its windows are repeated.
     whole = contexts.where("n > 1").select("h", "c", F.array(F.lit(0), F.col("at.hi") - F.col("at.lo") + 1).alias("runs"))
-    hits = plain.union(hot.select("h", "c", "runs")).union(across).union(whole).where(F.size("runs") > 0)
+    hits = merged.union(whole).where(F.size("runs") > 0)
     hits = cut(spark, hits.groupBy("h", "c").agg(F.flatten(F.collect_list("runs")).alias("runs")), "hits")
     spans = members.join(hits, ["h", "c"]).groupBy("id").agg(F.collect_list(F.struct("lo", "runs")).alias("hits"))
     spans = cut(spark, spans.join(classes.select("id", "key"), "id").select("key", "hits"), "spans")
-    forget(spark, members, contexts, plain, hot, hits)
+    forget(spark, members, contexts, merged, hits)
     return classes.select("key", "copies"), spans
 
 

@@ -148,10 +148,12 @@ def plain_removal(rows, length):
     return Counter(out)
 
 
-@pytest.mark.parametrize("shard_rows", [4000, 2])
-def test_repeats_against_counting(spark, shard_rows, monkeypatch):
-    shared, plain = text(5, 90), suffix.repeated_spans
+@pytest.mark.parametrize("shard_rows,many", [(4000, 8192), (4000, 2), (2, 3)])
+def test_repeats_against_counting(spark, shard_rows, many, monkeypatch):
+    """One shard, many shards of a collection, and collections split down to single starts."""
+    shared, plain, build = text(5, 90), suffix.repeated_spans, suffix.build_shards
     monkeypatch.setattr(suffix, "repeated_spans", lambda s, d, n: plain(s, d, n, shard_rows))
+    monkeypatch.setattr(suffix, "build_shards", lambda r, n: build(r, n, many))
     rows = [text(100 + i, 60) + shared[i : 300 + 3 * i] + text(200 + i, 50) for i in range(12)]
     rows += ["ab" * 300, "abc " * 200, shared[:199], shared[:200], shared[10:210] + shared[10:210], "", None, "é" * 150, rows[0], rows[0]]
     d = docs(spark, [(i % 5 or None, t, None, None) for i, t in enumerate(rows)])
@@ -160,6 +162,29 @@ def test_repeats_against_counting(spark, shard_rows, monkeypatch):
     assert made == plain_removal([(t or "").encode() for t in rows], 200)
 
 
+def test_merged_transforms_are_the_transform_of_all():
+    """Random strings of few letters, dealt to shards: the merge finds what comparing all windows finds."""
+    rng = np.random.default_rng(4)
+    for case in range(40):
+        length, rows = 5, []
+        for k in range(int(rng.integers(2, 14))):
+            off, n = int(rng.integers(0, 4)), int(rng.integers(1, 7))
+            off = min(off, n + length - 2)
+            rows.append((0, k, off, n, bytes(rng.choice(list(b"ab"), n + length - 1).tolist())))
+        cuts = sorted({0, len(rows), *rng.integers(0, len(rows), 3).tolist()})
+        shards = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            symbols, right = suffix._symbols(rows[a:b], length)
+            shards.append((case, suffix.transform(symbols, np.zeros(b - a, np.int64)), right))
+        far = max(r[2] for r in rows) + 1
+        got = suffix.merge(shards, np.arange(len(rows)), length, far)
+        for i, (_, _, off, n, body) in enumerate(rows):
+            for j in range(min(far, off + 1)):
+                if off - j < n:
+                    window = body[off - j : off - j + length]
+                    assert got[i, j] == any(o - j >= 0 and x[o - j : o - j + length] == window for k, (_, _, o, _, x) in enumerate(rows) if k != i)
+
+
 def test_repeats_odd_rows(spark, odd):
     assert suffix.remove_repeats(spark, odd).count() == len(ODD) and suffix.remove_repeats(spark, empty(odd)).count() == 0
 
