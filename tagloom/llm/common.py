@@ -20,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one when unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session, whose
+    executors are in the driver, gets a temporary folder; a cluster has to name one."""
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         d = "file://" + tempfile.mkdtemp(prefix="tagloom-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
@@ -32,11 +35,21 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files of a query are removed when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: a lineage cut that outlives executors."""
-    path = fresh_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    spark.sparkContext._jvm.System.gc()  # the cleaner frees the step's shuffle files once their plan is collected
+    """Write df as a Parquet table in the shared folder and read it back: a lineage cut that outlives executors.
+
+    The step's shuffle files go with its end, as nothing reads them after the write.
+    """
+    path, before = fresh_path(spark, tag), spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
@@ -49,6 +62,17 @@ def forget(spark: SparkSession, *dfs: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones that are not taken, in any case of letters."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

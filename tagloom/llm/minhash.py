@@ -83,12 +83,12 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, bands: int, size: int) -> DataFrame:
-    """(doc_id, text) to (doc_id, key, n_shingles, bands); key names the exact word sequence, null without words."""
+    """(doc_id, text, text_hash) to (doc_id, text_hash, key, n_shingles, bands); key names the exact word sequence, null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids, bodies = batch.column("doc_id"), texts(batch.column("text"))
+            ids, prints, bodies = batch.column("doc_id"), batch.column("text_hash"), texts(batch.column("text"))
             done = 0
             while done < len(bodies):  # pieces of a bounded number of bytes
                 end, n = done, 0
@@ -105,12 +105,13 @@ def sketch(docs: DataFrame, bands: int, size: int) -> DataFrame:
                         lists[i] = bh[k]
                 keys = [hashlib.md5(b" ".join(w)).digest() if w else None for w in part]
                 yield pa.record_batch(
-                    [ids.slice(done, end - done), pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                    ["doc_id", "key", "n_shingles", "bands"],
+                    [ids.slice(done, end - done), prints.slice(done, end - done), pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "key", "n_shingles", "bands"],
                 )
                 done = end
 
-    return clear_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).mapInArrow(run, "doc_id long, key binary, n_shingles long, bands array<long>")
+    d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return clear_batches(d).mapInArrow(run, "doc_id long, text_hash long, key binary, n_shingles long, bands array<long>")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -178,13 +179,14 @@ def _tile(percent: int, size: int):
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, size: int = 5, tile: int = 400) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, kept), one for each row of docs (doc_id, text).
+    """Rows (doc_id, n_shingles, component_id, kept, text_hash, component_key), one for each row of docs (doc_id, text).
 
     Documents whose sets of `size`-word shingles (A-Z lower-cased) have 100 * intersection >= percent * union are
     linked; component_id is the least doc_id of the connected component. Null and empty texts, and texts of white
     space alone, have no shingle and are linked with nothing. A row with a null doc_id counts in its class, but
     its kept is null, as is component_id where a class has no id at all. Repeated rows give repeated results; an
-    empty table gives none. Columns other than doc_id and text are not read.
+    empty table gives none. text_hash is the row's xxhash64 of text, and
+    component_key tells components apart also where ids repeat; it is null without shingles. Columns other than doc_id and text are not read.
     """
     bands = bands_for(percent / 100)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -231,10 +233,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
         merged = components(spark, links.union(more))
     labelled = nodes.select("key", "rep").join(merged.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("component", "key").alias("label"))
     named = cut(spark, labelled.groupBy("label").agg(F.min("rep").alias("component_id")), "named")  # apart from the join
-    by_key = labelled.join(named, "label").select("key", "component_id")
-    out = rows.select("doc_id", "key", "n_shingles").join(by_key, "key", "left")
+    by_key = labelled.join(named, "label").select("key", "component_id", F.col("label").alias("component_key"))
+    out = rows.select("doc_id", "text_hash", "key", "n_shingles").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"), "text_hash", "component_key")
 
 
 def _bodies(spark: SparkSession, docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -253,7 +255,7 @@ def _bodies(spark: SparkSession, docs: DataFrame, wanted: DataFrame, size: int)
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, table(spark, sf_dir, "documents"), percent=85)
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), percent=85).drop("text_hash", "component_key")
 
 
 #: DuckDB SQL for op4_minhash_near_dedup.

@@ -98,3 +98,20 @@ def test_files_of_another_order(spark):
     readers = [Reader(io.BytesIO(x), len(x)) for x in files]
     assert [i for r in readers for i, _ in r.documents()] == [*range(39, 0, -1), None]
     assert all(sum(len(r.find(i)) for r in readers) == 1 for i in range(1, 40))
+
+
+def test_stages_with_clashing_columns_and_equal_ids(spark, case):
+    """Columns named like those that the stages make, and rows of one id with different texts, null texts and repeats."""
+    d, base = case[0], prose(77, 150)
+    rows = [(1, base), (1, edited(base, 1, 2)), (1, prose(78, 150)), (1, None), (1, ""), (1, None), (2, base), (None, base), (None, base), (3, prose(79, 80))]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id bigint, text string, lang string, source string")
+    names = ["position", "slot", "block", "source_rank", "text_hash", "text_md5", "leaked_id", "leaked_hash", "_text", "_id", "key", "kept", "c0"]
+    docs = docs.withColumns({n: F.lit(f"my {n}") for n in names})
+    once = corpus_pipeline.minhash_near_dedup(spark, docs, d)
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.text or "", r.text is None) for r in once.collect()))
+    first = min(((1, base), (1, edited(base, 1, 2))), key=lambda r: spark.range(1).select(F.xxhash64(F.lit(r[1]))).first()[0])[1]
+    assert got == sorted([(False, 0, base, False)] * 2 + [(True, 1, first, False), (True, 1, rows[2][1], False), (True, 1, "", True), (True, 1, "", False), (True, 3, rows[9][1], False)])
+    for stage in (corpus_pipeline.minhash_near_dedup, corpus_pipeline.benchmark_decontamination, corpus_pipeline.source_mixing):
+        out = stage(spark, docs, d)
+        assert out.columns == docs.columns and all(r[n] == f"my {n}" for r in out.collect() for n in names)
+    assert corpus_pipeline.token_files(spark, docs, d).count() == len(rows)
