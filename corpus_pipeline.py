@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import cut, table
+from tagloom.llm.common import cut, free_names, table
 from tagloom.llm.decontaminate import find_leaks
 from tagloom.llm.minhash import near_duplicates
-from tagloom.llm.mixing import mix
+from tagloom.llm.mixing import ADDED, mix
 from tagloom.llm.quality import accepted
 from tagloom.llm.token_output import ordered_token_output
 
@@ -24,22 +24,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one of the least doc_id.
 
-    A repeated row is a copy of itself and stays once; a row without doc_id cannot stand for a group and stays.
+    Of rows of one doc_id and one group, that of the least hash of text stays, once. Texts without words are copies of
+    nothing but equal ones. A row without doc_id cannot stand for a group and stays.
     """
-    kept = near_duplicates(spark, docs, percent=80).where("kept").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("_text", F.md5("text")).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
-    return first.union(docs.where("doc_id is null"))
+    id_, print_, again = free_names(docs.columns, "doc_id", "text_hash", "text_md5")
+    kept = near_duplicates(spark, docs, percent=80).where("kept")
+    alone = F.when(F.col("component_key").isNull(), F.col("text_hash"))  # texts without words are in no group
+    kept = kept.groupBy(F.col("doc_id").alias(id_), "component_key", alone.alias("alone")).agg(F.min("text_hash").alias(print_)).select(id_, print_)
+    first = docs.withColumn(print_, F.xxhash64("text"))
+    first = first.join(kept, (first["doc_id"] == kept[id_]) & (first[print_] == kept[print_]), "left_semi")
+    first = first.withColumn(again, F.md5("text")).dropDuplicates(["doc_id", print_, again])
+    return first.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found."""
-    leaks = find_leaks(spark, docs, table(spark, sf_dir, "benchmark")).where("leaked").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    id_, print_ = free_names(docs.columns, "leaked_id", "leaked_hash")
+    leaks = find_leaks(spark, docs, table(spark, sf_dir, "benchmark")).where("leaked").select(F.col("doc_id").alias(id_), F.col("text_hash").alias(print_))
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(print_)), "left_anti")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: rows are range-partitioned and sorted by position."""
-    return mix(spark, docs).orderBy("position").select(*docs.columns)
+    names = free_names(docs.columns, *ADDED)
+    return mix(spark, docs, added=tuple(names)).orderBy(names[-1]).select(*docs.columns)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +55,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A table keeps no order, so the places of the mix are worked out again: mixing gives the same rows the same places.
     """
-    return ordered_token_output(spark, mix(spark, docs), "position")
+    return ordered_token_output(spark, mix(spark, docs.select("doc_id", "text", "source")), "position")
 
 
 STAGES = [
