@@ -256,4 +256,4 @@ def identify(spark: SparkSession, docs: DataFrame, models: Models | None) -> Dat
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     models = fit(spark, docs, crc_mod("doc_id", 5) != 0)
-    return identify(spark, docs, models).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+    return identify(spark, docs, models).select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")

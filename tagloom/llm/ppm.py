@@ -3,13 +3,16 @@
 The model is a byte-context trie kept as counts of (context, next byte) for contexts of 0 to ORDER bytes, counted
 over all training documents. A byte is coded in the longest context that was seen; a context's escape estimate is
 the number of its distinct bytes (method C), and bytes that a longer context offered are excluded from the shorter
-ones. Blocks of documents send their distinct grams and words to buckets, which merge the counts, and get back the
-code lengths and counts of what they sent: so what is gathered grows with the input, and each task stays bounded.
+ones. Blocks of documents send their distinct grams and words to buckets by context. What the blocks of a part send to
+a bucket is merged by one task, then the sums of some parts by another, and so on; so a bucket's last task holds its
+distinct grams once, however many documents have them. It works out their code lengths, which go back to the parts,
+where each block gets those of what it sent. What is gathered grows with the input.
 Only the contexts of one byte and none, at most 65,792 counts, go to all tasks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,30 +150,55 @@ def _add_low(t: pa.Table) -> pa.Table:
     return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "counts": pa.array([pack(low)], pa.binary())})
 
 
-_ANSWERS = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("values", pa.binary())])
+_SUMS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _add(t: pa.Table) -> pa.Table:
+    """Of one bucket and part: the distinct words and grams that its rows hold, and the sums of their counts."""
+    out = []
+    for kind in (_WORDS, _GRAMS):
+        mine = [(k, c) for x, k, c in zip(*(t.column(c).to_pylist() for c in ("kind", "keys", "counts")), strict=True) if x == kind]
+        if mine:
+            keys, counts = _distinct([(unpack(k, np.uint64, True), unpack(c, np.uint32).astype(np.int64)) for k, c in mine])
+            out.append((t.column("bucket")[0].as_py(), kind, t.column("part")[0].as_py(), pack(keys, True), pack(counts.astype(np.uint32))))
+    return _rows(out, _SUMS)
+
+
+_SOLVED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
 
-def _answer(low: np.ndarray):
+def _solve(low: np.ndarray):
     def run(t: pa.Table) -> pa.Table:
-        """Of one bucket: the merged counts of its words, or the code lengths of its grams, for each block in its own order."""
+        """Of one bucket with all its sums: the counts of its words and the code lengths of its grams."""
         out = []
-        for kind in (_WORDS, _GRAMS):
-            mine = [r for r in zip(*(t.column(c).to_pylist() for c in ("bucket", "kind", "block", "keys", "counts")), strict=True) if r[1] == kind]
-            asked = [(unpack(r[3], np.uint64, True), unpack(r[4], np.uint32).astype(np.int64)) for r in mine]
-            keys, counts = _distinct(asked)
+        for bucket, kind, k, c in zip(*(t.column(c).to_pylist() for c in ("bucket", "kind", "keys", "counts")), strict=True):
+            keys, counts = unpack(k, np.uint64, True), unpack(c, np.uint32).astype(np.int64)
             if kind == _WORDS:
                 values = counts.astype(np.uint32)
-                out.append((-1, _TOTALS, -1, np.array([counts.sum(), (counts > 0).sum()], np.int64).tobytes()))
+                out.append((bucket, _TOTALS, b"", np.array([counts.sum(), (counts > 0).sum()], np.int64).tobytes()))
             else:
                 seen = counts > 0
                 values = Model(keys[seen], counts[seen], low).log10(keys).astype(np.float32)
-            for r, (k, _) in zip(mine, asked, strict=True):
-                out.append((r[2], kind, r[0], pack(values[np.searchsorted(keys, k)])))
-        return _rows(out, _ANSWERS)
+            out.append((bucket, kind, k, pack(values)))
+        return _rows(out, _SOLVED)
 
     return run
 
 
+_ANSWERS = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("values", pa.binary())])
+
+
+def _answer(asked: pa.Table, solved: pa.Table) -> pa.Table:
+    """Of one bucket and part: the values of what each block sent, in its own order."""
+    out, known = [], {}
+    for kind, k, v in zip(*(solved.column(c).to_pylist() for c in ("kind", "keys", "values")), strict=True):
+        known[kind] = unpack(k, np.uint64, True), unpack(v, np.uint32 if kind == _WORDS else np.float32)
+    for bucket, kind, block, k in zip(*(asked.column(c).to_pylist() for c in ("bucket", "kind", "block", "keys")), strict=True):
+        keys, values = known[kind]
+        out.append((block, kind, bucket, pack(values[np.searchsorted(keys, unpack(k, np.uint64, True))])))
+    return _rows(out, _ANSWERS)
+
+
 class Model:
     """A part of the trie: training grams of the longest order with their counts, closed under falling back to contexts
     of two bytes, and the counts of all pairs of bytes for the contexts of one byte and none."""
@@ -273,31 +301,45 @@ def _score(total: int, distinct: int, n: int):
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, train: F.Column, block_bytes: int = 16 << 20) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, train: F.Column, block_bytes: int = 16 << 20, width: int = 64) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text).
 
-    Rows where `train` is true are learned from; null counts as false. Null and empty texts are scored as the end
+    Rows where `train` is true are learned from; null counts as false, so a row is held out when its fold is unknown. Null and empty texts are scored as the end
     alone. Words are told apart by 64-bit hashes. Repeated rows are learned from and scored as often as they come;
     an empty table gives no row, and without training rows every byte has probability 1/256. Other columns are
-    dropped. Blocks are a hash of the row, of about block_bytes of text each.
+    dropped. Blocks are a hash of the row, of about block_bytes of text each; a block holds a row of any length whole.
+    Code lengths travel as 32-bit floats, so a score is exact to about seven digits.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(train, F.lit(False)).alias("train"))
     n_bytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n, n_blocks = n_shuffle(spark), max(n_shuffle(spark), -(-n_bytes // block_bytes))
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
     asked = cut(spark, d.groupBy("block").applyInArrow(_ask(n), ASKED), "asked")
+    tables = [asked]
     low = asked.where(F.col("kind") == _LOW).withColumn("part", (F.col("block") % 256).cast("int"))
-    for width in (256, 1):  # sums of sums, so that no task adds up more than a few hundred
-        low = low.withColumn("part", (F.col("part") % width).cast("int")).groupBy("part").applyInArrow(_add_low, "part int, counts binary")
+    for some in (256, 1):  # sums of sums, so that no task adds up more than a few hundred
+        low = low.withColumn("part", (F.col("part") % some).cast("int")).groupBy("part").applyInArrow(_add_low, "part int, counts binary")
     found = low.select("counts").collect()
     pairs = unpack(found[0][0], np.int64) if found else np.zeros(1 << 16, np.int64)
-    answers = asked.where(F.col("bucket") >= 0).groupBy("bucket").applyInArrow(_answer(pairs), "block int, kind int, bucket int, values binary")
-    answers = cut(spark, answers, "answers")
-    forget(spark, asked)
+    sent = asked.where(F.col("bucket") >= 0)
+    # Sums of sums, `width` at a time, up to one row of each kind in each bucket.
+    parts, sums = n_blocks, sent.withColumnRenamed("block", "part")
+    while parts > 1 or len(tables) == 1:
+        parts = -(-parts // width)
+        sums = sums.withColumn("part", F.floor(F.col("part") / width).cast("int")).groupBy("bucket", "part").applyInArrow(_add, "bucket int, kind int, part int, keys binary, counts binary")
+        sums = cut(spark, sums, "sums")
+        tables.append(sums)
+    solved = cut(spark, sums.groupBy("bucket").applyInArrow(_solve(pairs), "bucket int, kind int, keys binary, values binary"), "solved")
+    # A bucket's values go to every part of some blocks that ask; the parts grow with the blocks, so both numbers stay low.
+    wide = max(width, math.isqrt(n_blocks))
+    here = solved.where(F.col("kind") != _TOTALS).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((n_blocks - 1) // wide))))
+    asking = sent.withColumn("part", F.floor(F.col("block") / wide).cast("int")).groupBy("bucket", "part")
+    answers = cut(spark, asking.cogroup(here.groupBy("bucket", "part")).applyInArrow(_answer, "block int, kind int, bucket int, values binary"), "answers")
     # One row of two numbers for each bucket.
-    parts = [np.frombuffer(r["values"], np.int64) for r in answers.where(F.col("kind") == _TOTALS).select("values").collect()]
-    total, distinct = (int(x) for x in np.sum(parts, axis=0)) if parts else (0, 0)
-    scored = d.groupBy("block").cogroup(answers.where(F.col("kind") != _TOTALS).groupBy("block")).applyInArrow(_score(total, distinct, n), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    found = [np.frombuffer(r["values"], np.int64) for r in solved.where(F.col("kind") == _TOTALS).select("values").collect()]
+    total, distinct = (int(x) for x in np.sum(found, axis=0)) if found else (0, 0)
+    forget(spark, *tables, solved)
+    scored = d.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(total, distinct, n), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

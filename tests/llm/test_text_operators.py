@@ -339,7 +339,10 @@ def test_ppm_against_dictionaries(spark):
     train = [(x or "").encode() for i, x, _, _ in rows if i % 3]
     words = Counter(w for x in train for w in [*x.lower().split(), None])
     n, v = sum(words.values()), len(words)
-    for r in ppm.score(spark, d, F.col("doc_id") % 3 != 0).collect():
+    scored = ppm.score(spark, d, F.col("doc_id") % 3 != 0).collect()
+    many = ppm.score(spark, d, F.col("doc_id") % 3 != 0, block_bytes=40, width=2).collect()  # sums of sums of sums
+    assert sorted(map(tuple, many)) == sorted(map(tuple, scored)) and len(scored) == len(rows)
+    for r in scored:
         b = (rows[r.doc_id][1] or "").encode()
         tokens = [*b.lower().split(), None]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(tokens), sum(w in words for w in tokens), n, r.doc_id % 3 == 0)
