@@ -1,10 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents are read as overlapping passages. The terms are the words of the benchmark; their weights come from the
-document frequencies over all documents. A randomised decomposition of the passages' weighted term matrix A, of
-which only A^T (A R) for a random R is summed over the cluster, gives the latent space. Passages near a benchmark
-item by cosine are candidates; a candidate counts when the longest common subsequence of words covers enough of the
-item and of its answer, the item's last words. So reworded copies are found, and chance neighbours are not.
+Documents are read as overlapping passages. The terms are the words of the benchmark, hashed to a fixed number of
+dimensions; their weights come from the document frequencies over all documents. A randomised decomposition of the
+passages' weighted term matrix A, of which only A^T (A R) for a random R is summed over the cluster, gives the latent
+space, one for the whole benchmark. Passages near a benchmark item by cosine are candidates; a candidate counts when the
+longest common subsequence of words covers enough of the item and of its answer, the item's last words. So reworded
+copies are found, and chance neighbours are not. The items are the query set: blocks of them meet all passages.
 
 Runs of words that a document shares with an item are candidates too, whatever the cosine: four words, or the whole of a
 shorter item. So an item that is there word for word is always found.
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,8 @@ class Settings:
     """window and stride of passages, in words; rank of the latent space; least cosine of a candidate; least share of
     the item's words in common order, with and without the answer's; least share of the answer's words; share of the
     documents above which a word is no term, unless it is one of the `rarest` words of an item;
-    items of fewer than least_words words have to be there word for word."""
+    items of fewer than least_words words have to be there word for word; dimensions that terms are hashed to; most items
+    and characters of a block of the benchmark, on average."""
 
     window: int = 48
     stride: int = 24
@@ -61,7 +64,9 @@ class Settings:
     common: float = 0.01
     rarest: int = 6
     least_words: int = 8
+    dimensions: int = 1 << 16
     block_items: int = 4000
+    block_chars: int = 16 << 20
 
 
 def lcs(a: list[bytes], b: list[bytes]) -> int:
@@ -176,11 +181,11 @@ def _batches(bodies: list[bytes], limit: int = 2 << 20) -> Iterator[tuple[int, i
         yield start, len(bodies)
 
 
-def document_frequencies(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
+def document_frequencies(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, int], n_terms: int) -> np.ndarray:
     """Documents that hold each term; a row for each term reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, count = _Terms(vocabulary), np.zeros(len(vocabulary), np.int64)
+        terms, count = _Terms(vocabulary), np.zeros(n_terms, np.int64)
         for batch in batches:
             for t in texts(batch.column("text")):
                 x = terms.of(words_of(t))
@@ -188,24 +193,24 @@ def document_frequencies(spark: SparkSession, docs: DataFrame, vocabulary: dict[
         at = np.flatnonzero(count)
         yield pa.record_batch([pa.array(at), pa.array(count[at])], ["term", "n"])
 
-    out = np.zeros(len(vocabulary), np.int64)
+    out = np.zeros(n_terms, np.int64)
     counted = clear_batches(docs.select("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     for r in counted.toLocalIterator():
         out[r["term"]] = r["n"]
     return out
 
 
-def latent_space(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, int], weight: np.ndarray, items: list[np.ndarray], s: Settings, seed: int = 5) -> np.ndarray:
+def latent_space(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, int], weight: np.ndarray, blocks: Iterator[list[np.ndarray]], s: Settings, seed: int = 5) -> np.ndarray:
     """Leading right singular vectors of the passages' matrix (terms by rank).
 
     With R random, Z = A^T A R is summed by pieces of terms; the decomposition of Z (R^T Z)^(-1/2) is that of A on
     the space that R spans. The items themselves are passages too.
     """
-    width = min(s.rank + s.extra, len(vocabulary))
+    width = min(s.rank + s.extra, len(weight))
     piece = 256
 
     def random() -> np.ndarray:
-        return np.random.default_rng(seed).standard_normal((len(vocabulary), width)).astype(np.float32)
+        return np.random.default_rng(seed).standard_normal((len(weight), width)).astype(np.float32)
 
     def add(z: np.ndarray, r: np.ndarray, lists: list[np.ndarray]) -> None:
         new, terms, _ = _matrix(lists, weight, s)
@@ -226,7 +231,7 @@ def latent_space(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, i
             z[t[at]] += np.add.reduceat(y[row[x][o] - lo] * value[x][o][:, None], at)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, r, z = _Terms(vocabulary), random(), np.zeros((len(vocabulary), width), np.float32)
+        terms, r, z = _Terms(vocabulary), random(), np.zeros((len(weight), width), np.float32)
         for batch in batches:
             bodies = texts(batch.column("text"))
             for i, j in _batches(bodies):
@@ -238,9 +243,10 @@ def latent_space(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, i
         z = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["z"])
         return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "z": [z.astype(np.float32).tobytes()]})
 
-    z = np.zeros((len(vocabulary), width), np.float32)
+    z = np.zeros((len(weight), width), np.float32)
     r = random()
-    add(z, r, items)
+    for items in blocks:
+        add(z, r, items)
     parts = clear_batches(docs.select("text")).mapInArrow(run, "piece long, z binary")
     # Partial sums by task groups first, so that no reducer takes a piece from every task.
     parts = parts.withColumn("part", F.spark_partition_id() % 64)
@@ -251,7 +257,7 @@ def latent_space(spark: SparkSession, docs: DataFrame, vocabulary: dict[bytes, i
     e, q = np.linalg.eigh((c + c.T) / 2)
     good = e > e[-1] * 1e-6 if e[-1] > 0 else np.zeros(len(e), bool)
     if not good.any():
-        return np.zeros((len(vocabulary), 1), np.float32)
+        return np.zeros((len(weight), 1), np.float32)
     u, _, _ = np.linalg.svd(z.astype(np.float64) @ (q[:, good] / np.sqrt(e[good])), full_matrices=False)
     return u[:, : s.rank].astype(np.float32)
 
@@ -289,16 +295,25 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, setti
 
     Null and empty texts hold no item; items of no word, or null, are never found. Items that repeat are all
     reported. Repeated rows and null ids are kept; an empty table on either side gives rows without leaks, or none.
-    Other columns are dropped. The benchmark is the query set: it is taken in blocks of block_items items, each of which
-    is small enough for the driver and every task.
+    Other columns are dropped. The benchmark is the query set: the driver and every task hold its distinct words, at most
+    `dimensions` numbers for each of rank + extra vectors, and one block of items at a time (an item is never cut, so a
+    block holds the longest one whole). How items fall into blocks changes no result.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    n_blocks = max(1, -(-items.count() // settings.block_items))
+    count, chars = items.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    n_blocks = max(1, -(-count // settings.block_items), -(-(chars or 0) // settings.block_chars))
+
+    def blocks() -> Iterator[list[tuple[int, list[bytes]]]]:
+        for k in range(n_blocks):
+            rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
+            worded = [(i, words_of(t)) for i, t in sorted((r[0], r[1].encode()) for r in rows)]
+            yield [(i, w) for i, w in worded if w]
+
     n_docs, out = docs.count(), None
-    for k in range(n_blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else items
-        found = _search(spark, docs, sorted((r[0], r[1].encode()) for r in block.collect()), n_docs, settings)
+    model = _fit(spark, docs, blocks, n_docs, settings)
+    for block in blocks():
+        found = _search(spark, docs, block, model, settings)
         out = found if out is None else out.union(found)
     if n_blocks > 1:  # a row of a document for each block: put together by the row's content
         out = out.groupBy("doc_id", "row").agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"), F.max("best_share").alias("best_share"), (F.count(F.lit(1)) / n_blocks).cast("int").alias("_n"))
@@ -307,31 +322,40 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, setti
     return out.select("doc_id", (F.size("items") > 0).alias("leaked"), "items", "best_share", F.col("row").alias("text_hash"))
 
 
-def _search(spark: SparkSession, docs: DataFrame, items: list[tuple[int, bytes]], n_docs: int, s: Settings) -> DataFrame:
-    worded = [(i, words_of(t)) for i, t in items]
-    worded = [(i, w) for i, w in worded if w]
-    vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in worded for w in ws}))}
-    model = None
-    if vocabulary:
-        df = document_frequencies(spark, docs, vocabulary)
-        lists = [_Terms(vocabulary).of(w) for _, w in worded]
-        # An item keeps terms even when all its words are common, as those of a passage that leaked everywhere are.
-        kept = df <= max(1, s.common * n_docs)
-        for x in lists:
-            x = np.unique(x)
+def _fit(spark: SparkSession, docs: DataFrame, blocks: Callable, n_docs: int, s: Settings) -> tuple | None:
+    """Vocabulary, weights and latent space of the whole benchmark; None without words."""
+    words = {w for block in blocks() for _, ws in block for w in ws}
+    if not words:
+        return None
+    # Words by hashed dimension, and the dimensions that occur numbered anew.
+    place = {w: xxhash.xxh3_64_intdigest(w) % s.dimensions for w in sorted(words)}
+    number = {d: k for k, d in enumerate(sorted(set(place.values())))}
+    vocabulary = {w: number[d] for w, d in place.items()}
+    df = document_frequencies(spark, docs, vocabulary, len(number))
+    lists = lambda block: [_Terms(vocabulary).of(w) for _, w in block]
+    # An item keeps terms even when all its words are common, as those of a passage that leaked everywhere are.
+    kept = df <= max(1, s.common * n_docs)
+    for block in blocks():
+        for x in map(np.unique, lists(block)):
             x = x[df[x] > 0]  # words of no document tell nothing
             kept[x[np.argsort(df[x], kind="stable")[: s.rarest]]] = True
-        weight = np.where(kept, np.maximum(np.log((1 + n_docs) / (1 + df)), 0.05), 0.0)
+    weight = np.where(kept, np.maximum(np.log((1 + n_docs) / (1 + df)), 0.05), 0.0)
+    space = latent_space(spark, docs, vocabulary, weight, map(lists, blocks()), s)
+    return vocabulary, weight, space
+
+
+def _search(spark: SparkSession, docs: DataFrame, worded: list[tuple[int, list[bytes]]], fitted: tuple | None, s: Settings) -> DataFrame:
+    model = None
+    if fitted and worded:
+        vocabulary, weight, space = fitted
+        lists = [_Terms(vocabulary).of(w) for _, w in worded]
         index = RunIndex(lists, s)
         # An item is one passage, however long.
-        whole = Settings(window=max(len(x) for x in lists), stride=max(len(x) for x in lists))
-        new, terms, rows = _matrix(lists, weight, whole)
-        space, queries = np.zeros((len(vocabulary), 1), np.float32), np.zeros((0, 1), np.float32)
-        if len(new):
-            space = latent_space(spark, docs, vocabulary, weight, lists, s)
-            queries = _vectors(new, terms, weight, space)
+        longest = max(len(x) for x in lists)
+        new, terms, rows = _matrix(lists, weight, Settings(window=longest, stride=longest))
+        queries = _vectors(new, terms, weight, space) if len(new) else np.zeros((0, space.shape[1]), np.float32)
         model = (vocabulary, weight, space, queries, [worded[int(r)] for r in rows[:, 0]], index, worded)
-    shipped = spark.sparkContext.broadcast(model)  # of a size set by block_items and rank
+    shipped = spark.sparkContext.broadcast(model)  # the size that find_leaks() states
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value

@@ -512,6 +512,37 @@ def test_leaks(spark, odd):
     assert decontaminate.find_leaks(spark, empty(odd), b).count() == 0
 
 
+def test_recall_of_reworded_items_against_exhaustive_search(spark):
+    """Items reworded to different degrees, over a vocabulary with common and rare words: of all pairs of a document and
+    an item that the longest common subsequence confirms, at least nine of ten are found, and no other is reported."""
+    rng, s = np.random.default_rng(8), decontaminate.Settings()
+    vocabulary, p = np.array([f"w{i}" for i in range(4000)]), 1 / np.arange(3, 4003)
+    make = lambda n: rng.choice(vocabulary, n, p=p / p.sum()).tolist()
+    items = [make(int(rng.integers(3, 80))) for _ in range(300)] + [make(400), make(1500)]
+    rows = []
+    for i in range(900):
+        body = make(int(rng.integers(20, 400)))
+        if i % 3 == 0:
+            item = list(items[(i // 3) % len(items)])
+            for k in np.flatnonzero(rng.random(len(item)) < rng.choice([0, 0.1, 0.2, 0.3, 0.38])):
+                item[k] = str(rng.choice(vocabulary))
+            at = int(rng.integers(0, len(body)))
+            body[at:at] = item
+        rows.append((i, " ".join(body), None, None))
+    bodies, encoded = [t.encode().split() for _, t, _, _ in rows], [[w.encode() for w in x] for x in items]
+    true = set()
+    for i, body in enumerate(bodies):
+        have = Counter(body)
+        for k, item in enumerate(encoded):
+            if sum((Counter(item) & have).values()) >= min(s.reworded, 1) * len(item) and decontaminate.check_pair(item, body, s):
+                true.add((i, k))
+    b = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, k) for r in decontaminate.find_leaks(spark, docs(spark, rows), b).collect() for k in r["items"]}
+    print("recall", len(got & true) / len(true), "of", len(true), "others", len(got - true))
+    assert len(true) > 150 and len(got & true) >= 0.9 * len(true)
+    assert len(got - true) <= 0.02 * len(got)  # stretches may start at other places than the exhaustive search's
+
+
 def test_items_that_are_there_word_for_word_are_found(spark):
     """All pairs of items of 1 to 19 words, cut from documents, that brute force finds; a block of 4000 items."""
     rng, vocabulary = np.random.default_rng(3), [f"w{i}" for i in range(2500)]
