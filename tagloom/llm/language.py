@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from .common import WS, clear_batches, crc_mod, mix, table, texts
 
 ORDER = 5
-MAX_LANGUAGES = 1000  # of the most common languages; each is one column of the models
 _START, _END = 0xFFFFFF, 0xFFFFFE
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,50 +89,65 @@ class LanguageModel:
 
 
 class Models:
-    """All languages side by side: for each order, sorted gram and context hashes and one column for each language."""
+    """All languages side by side: for each order, sorted gram and context hashes, and for each hash the languages that
+    have it with their weights. So the size is that of the languages' own models, however many there are."""
+
+    CELLS = 1 << 22  # places times languages that are worked on at once
 
     def __init__(self, by_lang: dict[str, LanguageModel]):
         self.langs = sorted(by_lang)
         models = [by_lang[k] for k in self.langs]
-        self.base = np.array([1 / m.alphabet for m in models])
-        self.grams = [self._table([m.grams[k] for m in models], 0.0) for k in range(ORDER)]
-        self.backs = [self._table([m.backs[k] for m in models], 1.0) for k in range(ORDER)]
+        self.base = np.array([1 / m.alphabet for m in models], np.float32)
+        self.grams = [self._table([m.grams[k] for m in models]) for k in range(ORDER)]
+        self.backs = [self._table([m.backs[k] for m in models]) for k in range(ORDER)]
         self.temperature, self.reject_above = 10.0, np.inf
 
     @staticmethod
-    def _table(parts: list[tuple[np.ndarray, np.ndarray]], empty: float) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.unique(np.concatenate([k for k, _ in parts]))
-        out = np.full((len(keys) + 1, len(parts)), empty, np.float32)  # the last row is for hashes not there
-        for i, (k, v) in enumerate(parts):
-            out[np.searchsorted(keys, k), i] = v
-        return keys, out
+    def _table(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+        """Sorted hashes, where the entries of each start, and the entries' languages and weights."""
+        all_keys = np.concatenate([k for k, _ in parts])
+        lang = np.repeat(np.arange(len(parts)), [len(k) for k, _ in parts])
+        o = np.argsort(all_keys, kind="stable")
+        keys, start = np.unique(all_keys[o], return_index=True)
+        return keys, np.append(start, len(o)), lang[o].astype(np.int32), np.concatenate([v for _, v in parts])[o].astype(np.float32)
+
+    def _entries(self, table: tuple[np.ndarray, ...], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells (place times languages, plus language) of the wanted hashes that are there, and their weights."""
+        keys, start, lang, value = table
+        i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        place = np.flatnonzero(keys[i] == wanted)
+        first, n = start[i[place]], np.diff(start)[i[place]]
+        entry = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(place * len(self.langs), n) + lang[entry], value[entry]
 
     def log_probs(self, words: list[str]) -> np.ndarray:
         """For each word, its natural log probability under each language and the number of places predicted."""
         out = np.zeros((len(words), len(self.langs) + 1), np.float32)
-        full = [i for i, w in enumerate(words) if w]
-        if not full:
-            return out
-        codes, predicted, word = _codes([words[i] for i in full])
+        full, held = [], 0
+        for i, w in enumerate([*words, None]):
+            if w is None or held > self.CELLS // len(self.langs):
+                if full:
+                    out[full] = self._log_probs([words[k] for k in full])
+                full, held = [], 0
+            if w:
+                full.append(i)
+                held += len(w) + 1
+        return out
+
+    def _log_probs(self, words: list[str]) -> np.ndarray:
+        codes, predicted, word = _codes(words)
         hashes = gram_hashes(codes)
         at = np.flatnonzero(predicted)
-        p = np.tile(self.base.astype(np.float32), (len(at), 1))
+        p = np.tile(self.base, len(at))
         for m in range(1, ORDER + 1):
-            keys, back = self.backs[m - 1]
             context = hashes[m - 2][at - 1] if m > 1 else np.zeros(len(at), np.uint64)
-            p *= back[self._find(keys, context)]
-            keys, weight = self.grams[m - 1]
-            p += weight[self._find(keys, hashes[m - 1][at])]
+            cells, back = self._entries(self.backs[m - 1], context)
+            p[cells] *= back
+            cells, weight = self._entries(self.grams[m - 1], hashes[m - 1][at])
+            p[cells] += weight
         first = np.flatnonzero(np.concatenate([[True], word[at][1:] != word[at][:-1]]))
-        out[full, :-1] = np.add.reduceat(np.log(p), first)
-        out[full, -1] = np.diff(np.append(first, len(at)))
-        return out
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        i = np.searchsorted(keys, wanted)
-        i[keys[np.minimum(i, len(keys) - 1)] != wanted] = len(keys)
-        return i
+        sums = np.add.reduceat(np.log(p.reshape(len(at), -1)), first)
+        return np.concatenate([sums, np.diff(np.append(first, len(at)))[:, None]], axis=1)
 
 
 class Scorer:
@@ -177,21 +191,25 @@ def _pieces(items: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int
         yield start, len(items)
 
 
-def fit(spark: SparkSession, docs: DataFrame, train: Column, per_language: int = 2000) -> Models | None:
-    """Models learned from about per_language documents of each language, where `train` is true and lang is given.
+def fit(spark: SparkSession, docs: DataFrame, train: Column, per_language: int = 4_000_000, altogether: int = 200_000_000) -> Models | None:
+    """Models learned from about per_language characters of each language, where `train` is true and lang is given.
 
-    The bound keeps the word counts that reach the driver, and the models, of a fixed size; the documents are those
-    of the least hashes of doc_id. A tenth of them are held back for calibration. None without such documents.
+    With so many languages that this is more than `altogether`, each gets an equal share of it; no language is left out.
+    So the word counts that reach the driver, and the models, are of a bounded size, but for the length of the texts that
+    the bound falls into, which are taken whole; the documents are those of the least hashes of doc_id, one of each
+    language at least. A tenth of the others are held back for calibration. None without such documents.
     """
     rows = docs.where(F.coalesce(train, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    # One number for each language; the rows themselves are thinned where they are read.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count")).limit(MAX_LANGUAGES).collect()}
+    rows = rows.withColumn("u", F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) / 1_000_000)
+    # Two numbers for each language; the rows themselves are thinned where they are read.
+    sizes = {r["lang"]: (r["n"], r["least"]) for r in rows.groupBy("lang").agg(F.sum(F.length("text") + 1).alias("n"), F.min("u").alias("least")).collect()}
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
-    u = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    sample = rows.withColumn("share", F.try_element_at(share, F.col("lang"))).withColumn("u", u).where("u < share")
-    fitted = sample.where("u < 0.9 * share")
+    bound = min(per_language, altogether / len(sizes))
+    share = F.create_map(*[F.lit(x) for k, (n, _) in sizes.items() for x in (k, min(1.0, bound / n))])
+    least = F.create_map(*[F.lit(x) for k, (_, u) in sizes.items() for x in (k, u)])
+    sample = rows.withColumns({"share": F.try_element_at(share, F.col("lang")), "first": F.col("u") == F.try_element_at(least, F.col("lang"))}).where("first or u < share")
+    fitted = sample.where("first or u < 0.9 * share")
     word = F.explode(F.split(F.lower("text"), WS, -1)).alias("w")
     counted = fitted.select("lang", word).withColumn("w", F.regexp_replace("w", "[^\\p{L}]", "")).where("w <> ''").groupBy("lang", "w").count()
     by_lang: dict[str, tuple[list, list]] = {}
@@ -201,7 +219,7 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, per_language: int =
     if not by_lang:
         return None
     models = Models({k: LanguageModel(*v) for k, v in by_lang.items()})
-    checks = [(r.text.encode(), models.langs.index(r.lang)) for r in sample.where("u >= 0.9 * share").select("text", "lang").toLocalIterator() if r.lang in models.langs]
+    checks = [(r.text.encode(), models.langs.index(r.lang)) for r in sample.where("not first and u >= 0.9 * share").select("text", "lang").toLocalIterator() if r.lang in models.langs]
     if checks:
         scorer, sums, true = Scorer(models), [], np.array([k for _, k in checks])
         for i, j in _pieces([t for t, _ in checks]):

@@ -258,9 +258,9 @@ def test_token_counts_are_greedy(spark, odd):
         w = b" " + bytes(rng.choice(list(b"abcde"), rng.integers(0, 12)).tolist())
         assert machine.count(w) == greedy(w)
     assert token_counts.Automaton([b"a", b"ab"]).count(b"abc") == 1  # no segmentation: the unknown piece
-    got = token_counts.token_counts(odd, "/opt/tokenizers/byte_bpe_50k.json").collect()
+    got = token_counts.token_counts(odd, token_output.tokenizer_path("byte_bpe_50k.json")).collect()
     assert len(got) == len(ODD) and {r.n_tokens for r in got if r.n_words == 0} == {0}
-    assert token_counts.token_counts(empty(odd), "/opt/tokenizers/byte_bpe_50k.json").count() == 0
+    assert token_counts.token_counts(empty(odd), token_output.tokenizer_path("byte_bpe_50k.json")).count() == 0
 
 
 # --- language models ---
@@ -275,26 +275,82 @@ def test_kneser_ney_sums_to_one():
 
 
 def _next(m, stem, c):
-    """Probability of the next character (None: the end) after a stem, from differences of word scores."""
+    """Probability of the next character (None: the end) after a stem, from the difference of two prefixes' scores."""
     codes, predicted, _ = language._codes([stem + (c or "")])
     at = np.flatnonzero(predicted)[len(stem)]
     h = language.gram_hashes(codes)
     p = m.base.copy()
     for k in range(1, language.ORDER + 1):
-        keys, back = m.backs[k - 1]
-        p = p * back[m._find(keys, h[k - 2][[at - 1]] if k > 1 else np.zeros(1, np.uint64))][0]
-        keys, weight = m.grams[k - 1]
-        p = p + weight[m._find(keys, h[k - 1][[at]])][0]
+        for cells, values, f in (
+            (*m._entries(m.backs[k - 1], h[k - 2][[at - 1]] if k > 1 else np.zeros(1, np.uint64)), np.multiply),
+            (*m._entries(m.grams[k - 1], h[k - 1][[at]]), np.add),
+        ):
+            p[cells] = f(p[cells], values)
     return float(p[0])
 
 
+def plain_kneser_ney(counts, order):
+    """Log probability of a word, by the definition: dictionaries of grams and of what comes before them."""
+    levels = {order: Counter()}
+    for word, n in counts.items():
+        seq = ["<"] * (order - 1) + list(word) + [">"]
+        for i in range(order - 1, len(seq)):
+            levels[order][tuple(seq[i - order + 1 : i + 1])] += n
+    for m in range(order - 1, 0, -1):
+        levels[m] = Counter(g[1:] for g in levels[m + 1])
+    discount = {}
+    for m, grams in levels.items():
+        n1, n2 = sum(c == 1 for c in grams.values()), sum(c == 2 for c in grams.values())
+        discount[m] = n1 / (n1 + 2 * n2) if n1 and n2 else 0.75
+
+    def p(context, c, m):
+        if m == 0:
+            return 1 / (len(levels[1]) + 1)
+        after = {g: n for g, n in levels[m].items() if g[:-1] == context[len(context) - m + 1 :]}
+        low = p(context, c, m - 1)
+        if not after:
+            return low
+        total, d = sum(after.values()), discount[m]
+        return max(after.get((*context[len(context) - m + 1 :], c), 0) - d, 0) / total + d * len(after) / total * low
+
+    def score(word):
+        seq = ["<"] * (order - 1) + list(word) + [">"]
+        return sum(np.log(p(tuple(seq[i - order + 1 : i]), seq[i], order)) for i in range(order - 1, len(seq)))
+
+    return score
+
+
+def test_kneser_ney_against_its_definition():
+    """Three languages side by side, worked on in small and large batches."""
+    rng = np.random.default_rng(6)
+    langs = {k: Counter("".join(rng.choice(list(a), rng.integers(1, 8))) for _ in range(60)) for k, a in {"x": "abc", "y": "bcde", "z": "éab"}.items()}
+    models = language.Models({k: language.LanguageModel(list(c), list(c.values())) for k, c in langs.items()})
+    words = ["", "a", "abcab", "bcde", "éa", "zzz", "aaaaaaaaaa", *list(langs["y"])[:20]]
+    plain = [plain_kneser_ney(langs[k], language.ORDER) for k in models.langs]
+    for models.CELLS in (10, 1 << 22):
+        got = models.log_probs(words)
+        for i, w in enumerate(words):
+            assert got[i, -1] == (len(w) + 1 if w else 0)
+            assert got[i, :-1] == pytest.approx([f(w) if w else 0 for f in plain], rel=1e-4)
+
+
+def test_no_language_is_left_out(spark):
+    """More languages than there are characters for, of very unequal sizes, and a very long text."""
+    rows = [(i, " ".join(chr(0x4E00 + i % 200) * 3 + chr(0x4E00 + i % 200 + k) for k in range(8)), f"l{i % 200}", "s") for i in range(600)]
+    rows.append((1000, "lang " * 300_000, "long", "s"))
+    models = language.fit(spark, docs(spark, rows), F.lit(True), altogether=201 * 400)
+    assert len(models.langs) == 201
+    got = {r.doc_id: r.lang_pred for r in language.identify(spark, docs(spark, rows), models).collect()}
+    assert np.mean([got[i] == rows[i][2] for i in range(600)]) > 0.95
+
+
 def test_language_of_held_out_texts(spark, odd):
     rows = []
     for i in range(300):
         lang = ("aa", "bb")[i % 2]
         rows.append((i, " ".join("".join(np.random.default_rng(i * 100 + k).choice(list("abcde" if lang == "aa" else "cdefg"), 6)) for k in range(15)), lang, "s"))
     d = docs(spark, rows)
-    models = language.fit(spark, d, F.col("doc_id") < 200, per_language=80)
+    models = language.fit(spark, d, F.col("doc_id") < 200, per_language=8000)
     got = {r.doc_id: r for r in language.identify(spark, d, models).collect()}
     assert np.mean([got[i].lang_pred == rows[i][2] for i in range(200, 300)]) > 0.97
     assert all(0 <= r.score <= 1 for r in got.values())
