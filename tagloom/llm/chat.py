@@ -44,11 +44,11 @@ def conversations(rows: DataFrame) -> DataFrame:
     return rows.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
 
-def pair_by_opening(convs: DataFrame) -> DataFrame:
+def pair_by_opening(convs: DataFrame, n: int) -> DataFrame:
     """Pair conversations that open with the same turn: of each opening's conversations, in the order of the md5 of
-    their ids, the first is chosen over the second, the third over the fourth, and so on; an odd one has no rejected."""
+    their ids, the first is chosen over the second, the third over the fourth, and so on; an odd one has no rejected. `n` bounds
+    the number of conversations."""
     opening = F.md5(_text(F.get("turns", F.lit(0))))
-    n = convs.count()
     ranked = rank_within(convs.withColumn("opening", opening), ["opening"], F.md5(F.col("conv_id").cast("string")), n)
     ranked = ranked.withColumn("pair_no", F.floor(F.col("rank") / 2)).withColumn("x", F.struct("conv_id", "turns"))
     return ranked.groupBy("opening", "pair_no").agg(F.max(F.when(F.col("rank") % 2 == 0, F.col("x"))).alias("c"), F.max(F.when(F.col("rank") % 2 == 1, F.col("x"))).alias("r"))
@@ -88,7 +88,7 @@ def preference_pairs(rows: DataFrame) -> DataFrame:
     order of role and text, null numbers first; repeated rows are repeated turns; other columns are dropped; an
     empty table gives no pair.
     """
-    return format_pairs(pair_by_opening(conversations(rows)))
+    return format_pairs(pair_by_opening(conversations(rows), rows.count()))
 
 
 def reply_pairs(spark: SparkSession, rows: DataFrame, role: str = "assistant") -> DataFrame:
@@ -125,10 +125,6 @@ def _digests(d: DataFrame) -> DataFrame:
 
 
 def op7_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digests(preference_pairs(table(spark, sf_dir, "conversations")))
-
-
-def op7_reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(reply_pairs(spark, table(spark, sf_dir, "conversations")))
 
 
@@ -136,22 +132,13 @@ _R = "'<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)"
 _SPANS = """array_to_string(list_transform(list_filter(range(1, len({t}) + 1), lambda i: {t}[i].role = 'assistant'), lambda i:
   (coalesce(list_sum(list_transform({t}[1:i - 1], lambda x: length({r}))), 0)::bigint + length({t}[i].role) + 5)::varchar || '-' ||
   (list_sum(list_transform({t}[1:i], lambda x: length({r})))::bigint)::varchar), ',')"""
-#: DuckDB SQL for op7_preference_chat.
-OP7_SQL = f"""
-with c as (select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as t
-  from conversations where conv_id is not null group by conv_id),
-o as (select *, md5(list_transform(t[1:1], lambda x: {_R})[1]) as opening from c),
-k as (select *, row_number() over (partition by opening order by md5(conv_id::varchar)) - 1 as k from o),
-p as (select a.conv_id as chosen_id, a.t as ta, b.conv_id as rejected_id, b.t as tb from k a left join k b on a.opening = b.opening and b.k = a.k + 1 where a.k % 2 = 0),
-n as (select *, case when tb is null then 0 else coalesce(list_min(list_filter(range(1, least(len(ta), len(tb)) + 1), lambda i: ta[i] <> tb[i])) - 1, least(len(ta), len(tb))) end as n from p),
-m as (select chosen_id, rejected_id, n, ta[1:n] as h, ta[n + 1:] as a, case when tb is not null then tb[n + 1:] end as b from n)
-select chosen_id, rejected_id, n::int as n_common, md5(coalesce(array_to_string(list_transform(h, lambda x: {_R}), ''), '')) as prompt_md5,
+_RESULT = f"""select chosen_id, rejected_id, n::int as n_common, md5(coalesce(array_to_string(list_transform(h, lambda x: {_R}), ''), '')) as prompt_md5,
   md5(coalesce(array_to_string(list_transform(a, lambda x: {_R}), ''), '')) as chosen_md5,
   case when b is not null then md5(coalesce(array_to_string(list_transform(b, lambda x: {_R}), ''), '')) end as rejected_md5,
   coalesce({_SPANS.format(t="a", r=_R)}, '') as chosen_spans, case when b is not null then coalesce({_SPANS.format(t="b", r=_R)}, '') end as rejected_spans from m
 """
-#: DuckDB SQL for op7_reply_pairs.
-OP7_REPLIES_SQL = f"""
+#: DuckDB SQL for op7_preference_chat.
+OP7_SQL = f"""
 with c as (select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as t
   from conversations where conv_id is not null group by conv_id),
 k as (select *, list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')) as p from c),
@@ -160,4 +147,4 @@ n as (select k.conv_id as chosen_id, y.id as rejected_id, case when y.id is null
     case when y.id is not null then t[1:p - 1] || [{{'role': t[p].role, 'text': y.reply}}] || t[p + 1:] end as tb
   from k left join e x on p is not null and t[p].text = x.reply left join e y on x.m > 1 and y.no = (x.no + 1) % x.m),
 m as (select chosen_id, rejected_id, n, ta[1:n] as h, ta[n + 1:] as a, case when tb is not null then tb[n + 1:] end as b from n)
-{OP7_SQL[OP7_SQL.index("select chosen_id, rejected_id, n::int"):]}"""
+{_RESULT}"""

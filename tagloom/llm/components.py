@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, forget
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(spark: SparkSession, links: DataFrame, limit: int = 60) -> DataFr
         # Small star: u and its smaller neighbours are linked to the least of them.
         least = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        e = cut(spark, small.where("u <> v").distinct(), "links")
+        last, e = e, cut(spark, small.where("u <> v").distinct(), "links")
+        forget(spark, last)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, clear_batches, cut, mix, table, texts
+from .common import WordHashes, clear_batches, cut, forget, mix, table, texts
 from .components import components
 
 ROWS = 5
@@ -227,10 +227,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
     )
     more = tiles.join(bodies, "key").select("bh", "x", "y", "key", "label", "side", "text").groupBy("bh", "x", "y").applyInPandas(_tile(percent, size), "a binary, b binary")
     more = cut(spark, more.distinct(), "more")
-    if more.isEmpty():
-        merged = first
-    else:
-        merged = components(spark, links.union(more))
+    merged = first if more.isEmpty() else components(spark, links.union(more))
+    forget(spark, banded, pivot, pairs, bodies)
     labelled = nodes.select("key", "rep").join(merged.withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("component", "key").alias("label"))
     named = cut(spark, labelled.groupBy("label").agg(F.min("rep").alias("component_id")), "named")  # apart from the join
     by_key = labelled.join(named, "label").select("key", "component_id", F.col("label").alias("component_key"))

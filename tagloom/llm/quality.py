@@ -134,7 +134,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, window: int = 8) ->
     d = measures(docs.drop(*[c for c in docs.columns if c in made]), window)
     # Integer arithmetic where the base rules must be exact.
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    failed = F.array_compact(F.array(*[F.when(base if r.name == "" else broken(r), F.lit(r.name)) for r in rules if r.name not in BASE_RULES]))
+    failed = F.array_compact(F.array(*[F.when(broken(r), F.lit(r.name)) for r in rules if r.name not in BASE_RULES]))
     return d.withColumns({"base_failed": base, "failed_rules": failed}).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("one")
 
 

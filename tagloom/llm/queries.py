@@ -10,7 +10,6 @@ QUERIES = {
     "op5_language_id": language.op5_language_id,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_preference_chat": chat.op7_preference_chat,
-    "op7_reply_pairs": chat.op7_reply_pairs,
     "op8_lm_scoring": ppm.op8_lm_scoring,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_suffix_dedup": suffix.op10_suffix_dedup,
@@ -20,5 +19,4 @@ ORACLE_SQL = {
     "op4_minhash_near_dedup": minhash.OP4_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op7_preference_chat": chat.OP7_SQL,
-    "op7_reply_pairs": chat.OP7_REPLIES_SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -89,10 +90,40 @@ class WordEncoder(dict):
         return [b"".join(map(get, d.split())) for d in docs]
 
 
+class TextEncoder:
+    """Ids of whole texts, for tokenizers of any form."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, docs: list[bytes]) -> list[bytes]:
+        return [np.array(self.tokenizer.encode(d.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for d in docs]
+
+
+#: The form of tokenizers whose texts can be encoded word by word.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer has the form that WordEncoder is right for."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    steps = (d.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    split = steps[0].get("type") == "Split" and steps[0].get("pattern") == {"Regex": _SPLIT} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+    level = len(steps) == 2 and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and steps[1].get("use_regex") is False
+    plain = d["model"].get("type") == "BPE" and not d["model"].get("dropout") and not d.get("truncation") and not d.get("padding")
+    added = all("<" in t["content"] and not any(t[k] for k in ("lstrip", "rstrip", "single_word", "normalized")) for t in d.get("added_tokens", []))
+    return d.get("normalizer") == _NORMALIZER and split and level and plain and added
+
+
 @lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> WordEncoder | TextEncoder:
     """One for each worker process, so that tasks share what is known."""
-    return WordEncoder(path)
+    return WordEncoder(path) if by_words(path) else TextEncoder(path)
 
 
 def _pieces(items: list[bytes], limit: int = 8 << 20) -> Iterator[slice]:
@@ -110,8 +141,9 @@ def _pieces(items: list[bytes], limit: int = 8 << 20) -> Iterator[slice]:
 def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end_id: int, frame_bytes: int = 1 << 18, order: str | None = None) -> DataFrame:
     """Encode and write docs (doc_id, text); the manifest (shard, path, n_docs, n_tokens, n_bytes, start) is returned.
 
-    Shards are ranges of doc_id, so their order is document order; equal ids are ordered by text. With `order`, a column
-    of docs without ties, they are ranges of it. A shard is written under a name of its own and then renamed, so a task that is run again replaces it by the same bytes.
+    Shards are ranges of doc_id, so their order is document order; equal ids are ordered by xxhash64 of text, and then by
+    text. With `order`, a column of docs without ties, they are ranges of it. A shard is written under a name of its own
+    and then renamed, so a task that is run again replaces it by the same bytes; what lost tasks have left is removed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,17 +174,28 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
     if order:
         d = d.repartitionByRange(n_shuffle(spark), "_at").sortWithinPartitions("_at")
     else:
-        d = d.repartitionByRange(n_shuffle(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    made = clear_batches(d).mapInArrow(run, "shard long, path string, n_docs long, n_tokens long, n_bytes long")
+        d = d.withColumn("_at", F.xxhash64("text"))
+        d = d.repartitionByRange(n_shuffle(spark), "doc_id", "_at").sortWithinPartitions("doc_id", "_at", "text")
+    made = clear_batches(d.select("doc_id", "text")).mapInArrow(run, "shard long, path string, n_docs long, n_tokens long, n_bytes long")
     # One row for each file, so the driver holds a few numbers for each file and no more.
     rows, start = [], 0
     for r in sorted(cut(spark, made, "manifest").collect()):
         rows.append((*r, start))
         start += r["n_tokens"]
+    remove_parts(spark, folder)
     schema = T.StructType([T.StructField(c, T.StringType() if c == "path" else T.LongType()) for c in ("shard", "path", "n_docs", "n_tokens", "n_bytes", "start")])
     return spark.createDataFrame(rows, schema)
 
 
+def remove_parts(spark: SparkSession, folder: str) -> None:
+    """Delete the files that tasks did not live to rename."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(path) if fs.exists(path) else ():
+        if f.getPath().getName().startswith("."):
+            fs.delete(f.getPath(), False)
+
+
 def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Every document of the files: (doc_id, start, n_tokens, ids_crc32, shard)."""
 

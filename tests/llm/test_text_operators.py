@@ -115,6 +115,18 @@ def test_near_duplicates_against_all_pairs(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_recall_of_pairs_near_the_threshold(spark):
+    """Pairs of single links, most of them close above 85 %: all that share enough are joined."""
+    rows = []
+    for i in range(500):
+        base = text(5000 + i, 200)
+        rows += [(2 * i, base), (2 * i + 1, edited(base, 9000 + i, 2 + i % 3))]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, d, percent=85).collect()}
+    want = {a: c for a, _, c in (x for i in range(500) for x in plain_components(rows[2 * i : 2 * i + 2], 85))}
+    assert got == want and 200 < sum(a != c for a, c in want.items()) < 480
+
+
 def test_near_duplicates_odd_rows(spark, odd):
     got = minhash.near_duplicates(spark, odd).collect()
     assert len(got) == len(ODD)
@@ -211,6 +223,32 @@ def test_token_files_round_trip(spark, odd):
     assert token_output.token_output(spark, empty(odd)).count() == 0
 
 
+def test_token_files_of_one_id_with_many_texts(spark, tmp_path):
+    """Equal ids come in the order of their texts' hashes over all files; what a lost task left is removed."""
+    rows = [(5, text(i, 20), None, None) for i in range(300)] + [(6, "x", None, None)]
+    folder = f"file://{tmp_path}/out"
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / ".000001-lost").write_bytes(b"part of a file")
+    manifest = token_output.write_tokens(spark, docs(spark, rows), folder, token_output.tokenizer_path(), 2)
+    paths = [r.path.removeprefix("file://") for r in sorted(manifest.collect())]
+    assert len(paths) > 1 and not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".") and not p.name.endswith(".crc")]
+    got = [bytes(x) for p in paths for _, x in Reader(io.BytesIO(open(p, "rb").read()), len(open(p, "rb").read())).documents()]
+    hashes = {r.text: r.h for r in docs(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    e = token_output.WordEncoder(token_output.tokenizer_path())
+    want = [e.encode([t.encode()])[0] + np.array([2], "<u4").tobytes() for t in [*sorted((t for i, t, *_ in rows if i == 5), key=lambda t: (hashes[t], t)), "x"]]
+    assert got == want
+
+
+def test_tokenizers_of_other_forms_encode_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = token_output.tokenizer_path("byte_bpe_50k.json")
+    assert token_output.by_words(token_output.tokenizer_path()) and not token_output.by_words(path)
+    t, rows = Tokenizer.from_file(path), [(i, x, None, None) for i, x in enumerate(["Two  words", " x\n\ny ", "don't STOP", "", None])]
+    got = sorted(token_output.token_output(spark, docs(spark, rows), path).collect())
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for _, x, _, _ in rows]
+
+
 def test_seekable_file_reads_only_what_is_asked():
     out = io.BytesIO()
     w = Writer(out, frame_bytes=400)
@@ -518,6 +556,13 @@ def test_every_conversation_gets_a_rejected_reply(spark):
     assert chat.reply_pairs(spark, d.where("false")).count() == 0
 
 
+def test_a_very_long_conversation(spark):
+    rows = [(i, t, ("user", "assistant")[t % 2], f"turn {t}" if t < 3999 else f"end {i}") for i in range(2) for t in range(4000)]
+    d = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = sorted(chat.reply_pairs(spark, d).collect(), key=lambda r: r.chosen_id)
+    assert [(r.n_common, r.chosen, r.rejected) for r in got] == [(3999, f"<|assistant|>\nend {i}<|end|>\n", f"<|assistant|>\nend {1 - i}<|end|>\n") for i in range(2)]
+
+
 # --- decontamination ---
 
 
