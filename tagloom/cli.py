@@ -1,4 +1,4 @@
-"""Command line: import, diff, run and lookup.
+"""Command line: import, diff, run, optimize and lookup.
 
     python -m tagloom.cli import --mapping m.yml --store /data --state-dir /state --read a.pbf --write --deploy
 """
@@ -11,13 +11,15 @@ import sys
 from pyspark.sql import SparkSession
 
 from . import config
-from .engine import Engine
-from .operators.changes import initial_state
+from .engine import Engine, optimize
 from .operators.sinks import ParquetSink
 from .operators.tables import Elements
 from .plans.mapping import Mapping
+from .sources import pbf
+from .sources.files import change_files, qualified, sequence_of
 from .sources.xml import read_changes
-from .streaming.stream import sequence_of, stream_changes
+from .streaming import state as rs
+from .streaming.stream import stream_changes
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--expire-tiles-zoom", type=int)
     i = sub.add_parser("import", parents=[common])
     i.add_argument("--read")
+    i.add_argument("--changes", help="folder of change files, to reckon from it where changes start")
     for name in ("write", "diff", "deploy", "revert", "remove-backup", "append", "overwrite"):
         i.add_argument(f"--{name}", action="store_true")
     d = sub.add_parser("diff", parents=[common])
@@ -40,6 +43,10 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("run", parents=[common])
     r.add_argument("folder")
     r.add_argument("--once", action="store_true")
+    r.add_argument("--commit-latest", type=int, default=10, metavar="N", help="change files that are committed together")
+    r.add_argument("--attempts", type=int, default=8)
+    z = sub.add_parser("optimize", parents=[common])
+    z.add_argument("--partitions", type=int, default=64)
     q = sub.add_parser("lookup", parents=[common])
     q.add_argument("kind", choices=("node", "way", "relation"))
     q.add_argument("ids", nargs="+", type=int)
@@ -55,6 +62,13 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     fs.rename(path(source), path(target))
 
 
+def publish(engine: Engine, sink: ParquetSink, names: list[str]) -> None:
+    """Store the tables of the last version and put them in place."""
+    for name, df in engine.current_tables().items():
+        sink.write(name, df)
+    sink.deploy(names)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
     o = config.load(a.config, vars(a))
@@ -78,7 +92,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if a.write:
             engine.write(sink, stored())
         if a.diff:
-            engine.save(initial_state(engine.builder, stored()))
+            header = pbf.read_header(qualified(spark, a.read)) if a.read and a.read.endswith(".pbf") else {}
+            at = rs.after_import(header, change_files(spark, a.changes) if a.changes else [], o.replication_interval, o.diff_state_before)
+            engine.start(stored(), at and at.seq)
+            if at:
+                rs.save(spark, o.state_dir, at)
         if a.deploy:
             sink.deploy(names)
         if a.revert:
@@ -88,11 +106,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "diff":
         for f in a.files:
             engine.apply(read_changes(spark, f, sequence_of(f)), a.force)
-        for name, df in engine.current_tables().items():
-            sink.write(name, df)
-        sink.deploy(names)
+        publish(engine, sink, names)
     elif a.command == "run":
-        stream_changes(spark, engine, a.folder, f"{o.state_dir}/stream", once=a.once).awaitTermination()
+        stream_changes(spark, engine, a.folder, f"{o.state_dir}/stream", a.commit_latest, a.once, a.attempts).awaitTermination()
+        publish(engine, sink, names)
+    elif a.command == "optimize":
+        for name in names:
+            if sink.exists(name, o.schema_production) and "binary" in dict(sink.read(name, o.schema_production).dtypes).values():
+                sink.write(name, optimize(sink.read(name, o.schema_production), a.partitions))
+                sink.deploy([name])
     else:
         e = engine.load().elements if engine._versions() else stored()
         for r in engine.lookup(e, a.kind, a.ids, a.full, a.deps).toLocalIterator():

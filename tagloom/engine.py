@@ -109,8 +109,11 @@ class Engine:
         elements = Elements(read("nodes"), read("ways"), read("relations"), read("coords"))
         return ch.State(elements, {n: read(f"table_{n}") for n in self.mapping.tables}, read("complete").first()[0])
 
-    def start(self, elements: Elements) -> int:
-        return self.save(ch.initial_state(self.builder, elements))
+    def start(self, elements: Elements, last_seq: int | None = None) -> int:
+        """The first version; changes follow from last_seq on, or from whatever comes first."""
+        state = ch.initial_state(self.builder, elements)
+        state.last_seq = last_seq
+        return self.save(state)
 
     def apply(self, changes: DataFrame, force: bool = False, keep: int = 2) -> int:
         """Apply changes to the last version and store the next one; older versions than `keep` are removed.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import POLE, project_x, project_y
+from .geometry import POLE, project_x, project_y, unproject_x, unproject_y
 
 #: Padding of a point in tiles, and the most tiles of a box and of a line before the zoom goes down.
 PADDING = 0.2
@@ -47,27 +47,44 @@ def box(points: Column) -> Column:
     return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"), F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
 
 
-def box_corners(b: Column, zoom: Column) -> tuple[Column, Column]:
-    return tile_xy(b["minx"], b["maxy"], zoom), tile_xy(b["maxx"], b["miny"], zoom)
+def square(b: Column) -> Column:
+    """A box in the unit square of zoom 0, struct(x1, y1, x2, y2); null when it is empty or a corner is outside."""
+    p, q = tile_xy(b["minx"], b["maxy"], F.lit(0)), tile_xy(b["maxx"], b["miny"], F.lit(0))
+    corners = F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"))
+    return F.when((p["x"] >= 0) & (q["x"] >= 0) & b["minx"].isNotNull(), corners)
 
 
-def box_size(b: Column, zoom: Column) -> Column:
-    """Tiles that the box covers, as a whole number; 0 when a corner is outside the square."""
-    p, q = box_corners(b, zoom)
-    n = F.floor(F.abs((q["x"] - p["x"] + 1) * (q["y"] - p["y"] + 1)))
-    return F.when((p["x"] < 0) | (q["x"] < 0) | b["minx"].isNull(), F.lit(0).cast("long")).otherwise(n)
+def _size(u: Column, zoom: Column) -> Column:
+    """Tiles that a box of the unit square covers, as a whole number."""
+    n = F.pow(F.lit(2.0), zoom)
+    return F.floor(F.abs(((u["x2"] - u["x1"]) * n + 1) * ((u["y2"] - u["y1"]) * n + 1)))
+
+
+def _zoom(u: Column, closed: Column, max_zoom: int) -> Column:
+    """The zoom of zoom_for() from the unit square: the number of tiles is a quadratic in the scale, whose root gives
+    the zoom but for rounding, so its neighbours are tried as well."""
+    limit = F.when(closed, F.lit(MOST_BOX)).otherwise(F.lit(MOST_LINE))
+    a, b = u["x2"] - u["x1"], u["y2"] - u["y1"]
+    scale = 2.0 * (limit - 1) / (a + b + F.sqrt((a + b) * (a + b) + 4.0 * a * b * (limit - 1)))
+    guess = F.when(a + b > 0, F.floor(F.log2(scale)).cast("int")).otherwise(F.lit(max_zoom))
+    near = F.transform(F.array(F.lit(1), F.lit(0), F.lit(-1)), lambda d: F.greatest(F.lit(1), F.least(guess + d, F.lit(max_zoom))))
+    fits = F.filter(near, lambda z: _size(u, z) < limit)
+    # A box outside the square covers no tile, so it fits at every zoom.
+    return F.when(u.isNull(), F.lit(max_zoom)).otherwise(F.coalesce(F.get(fits, F.lit(0)), F.lit(0)))
 
 
 def zoom_for(b: Column, closed: Column, max_zoom: int) -> Column:
     """The highest zoom, from max_zoom down to 1, at which the box has few enough tiles; 0 when there is none."""
-    limit = F.when(closed, F.lit(MOST_BOX)).otherwise(F.lit(MOST_LINE))
-    fits = F.filter(F.sequence(F.lit(max_zoom), F.lit(1), F.lit(-1)), lambda z: box_size(b, z) < limit)
-    return F.coalesce(F.get(fits, F.lit(0)), F.lit(0))
+    return _let(square(b), lambda u: _zoom(u, closed, max_zoom))
+
+
+def _box_tiles(u: Column, zoom: Column) -> Column:
+    n = F.pow(F.lit(2.0), zoom)
+    return F.when(u.isNull(), _none()).otherwise(_grid(zoom, u["x1"] * n, u["x2"] * n, u["y1"] * n, u["y2"] * n))
 
 
 def box_tiles(b: Column, zoom: Column) -> Column:
-    p, q = box_corners(b, zoom)
-    return F.when((p["x"] < 0) | (q["x"] < 0) | b["minx"].isNull(), _none()).otherwise(_grid(zoom, p["x"], q["x"], p["y"], q["y"]))
+    return _let(square(b), lambda u: _box_tiles(u, zoom))
 
 
 def _walk(p: Column, q: Column, zoom: Column) -> Column:
@@ -115,7 +132,12 @@ def _let(value: Column, f) -> Column:
 def geometry_tiles(points: Column, closed: Column, max_zoom: int) -> Column:
     """Stale tiles of a line or an area (x = lon, y = lat): the box or the line at the highest zoom that has few tiles."""
 
-    def at(b: Column, z: Column) -> Column:
-        return F.when((F.size(points) == 0) | (z == 0), _none()).when(closed, box_tiles(b, z)).otherwise(line_tiles(points, z))
+    def at(u: Column, z: Column) -> Column:
+        return F.when((F.size(points) == 0) | (z == 0), _none()).when(closed, _box_tiles(u, z)).otherwise(line_tiles(points, z))
+
+    return _let(box(points), lambda b: _let(square(b), lambda u: _let(_zoom(u, closed, max_zoom), lambda z: at(u, z))))
+
 
-    return _let(box(points), lambda b: _let(zoom_for(b, closed, max_zoom), lambda z: at(b, z)))
+def projected_tiles(points: Column, closed: Column, max_zoom: int) -> Column:
+    """geometry_tiles() of points in web mercator."""
+    return _let(F.transform(points, lambda p: F.struct(unproject_x(p["x"]).alias("x"), unproject_y(p["y"]).alias("y"))), lambda q: geometry_tiles(q, closed, max_zoom))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .files import qualified
 from .schema import MEMBER
 
 SCHEMA = f"kind string, id bigint, lon double, lat double, refs array<bigint>, members array<{MEMBER}>, tags map<string,string>"
@@ -144,6 +145,7 @@ def _open(path: str):
 
 
 def read_header(path: str) -> dict:
+    """Header of a file given by its local path or by one with a scheme."""
     with _open(path) as f:
         for kind, at, n in blobs(f):
             if kind == "OSMHeader":
@@ -206,7 +208,7 @@ class PbfSource(DataSource):
 def read_elements(spark: SparkSession, path: str, partition_bytes: int = 16 << 20) -> dict[str, DataFrame]:
     """nodes, ways and relations of a PBF file."""
     spark.dataSource.register(PbfSource)
-    d = spark.read.format("tagloom_pbf").option("partition_bytes", partition_bytes).load(path)
+    d = spark.read.format("tagloom_pbf").option("partition_bytes", partition_bytes).load(qualified(spark, path))
     part = lambda kind, *cols: d.where(F.col("kind") == kind).select("id", *cols, "tags")
     return {"nodes": part("node", "lon", "lat"), "ways": part("way", "refs"), "relations": part("relation", "members")}
 

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import listed
 from .schema import CHANGES, MEMBER_TYPES
 
 _TAG = "tag array<struct<_k:string,_v:string>>"
@@ -58,19 +59,27 @@ def parse_changes(data: bytes, seq: int) -> list[tuple]:
     return rows
 
 
-def read_changes(spark: SparkSession, paths: str | list[str], first_seq: int = 0) -> DataFrame:
-    """Change files to one table; seq follows the order of the paths, ord the order in each file.
-
-    Files are read by Spark, one task for each, and parsed there.
-    """
-    files = spark.read.format("binaryFile").load(paths)
-    rank = {p: first_seq + i for i, p in enumerate(paths if isinstance(paths, list) else [paths])}
+def changes_of(files: DataFrame, seqs: dict[str, int]) -> DataFrame:
+    """Rows of change files (path, content), one task for each file; seqs gives the sequence of each path."""
+    names = ["seq", "ord", "action", "kind", "id", "lon", "lat", "refs", "members", "tags"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split(" ")[0] for c in CHANGES.replace("struct<type:tinyint,ref:bigint,role:string>", "s").replace("map<string,string>", "m").split(", ")]
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                seq = next((s for p, s in rank.items() if path.endswith(p.removeprefix("file://"))), first_seq)
-                yield pd.DataFrame(parse_changes(content, seq), columns=names)
+                yield pd.DataFrame(parse_changes(content, seqs[path]), columns=names)
 
     return files.select("path", "content").mapInPandas(run, CHANGES)
+
+
+def read_changes(spark: SparkSession, paths: str | list[str], first_seq: int = 0) -> DataFrame:
+    """Change files to one table; seq follows the order of the paths, and of names where one of them is a pattern or a
+    folder; ord is the order in each file."""
+    found = [p for x in ([paths] if isinstance(paths, str) else paths) for p, _ in listed(spark, x)]
+    if not found:
+        raise FileNotFoundError(f"no change file at {paths}")
+    return read_change_files(spark, {p: first_seq + i for i, p in enumerate(dict.fromkeys(found))})
+
+
+def read_change_files(spark: SparkSession, seqs: dict[str, int]) -> DataFrame:
+    """Change files of known sequences. Files are read by Spark, one task for each, and parsed there."""
+    return changes_of(spark.read.format("binaryFile").load(list(seqs)), seqs)

@@ -6,7 +6,7 @@ import json
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +47,17 @@ def start_sequence(current: int, current_time: datetime, data_time: datetime, in
     return current - steps(current_time - data_time) - steps(before)
 
 
+def after_import(header: dict, files: list, interval: timedelta, before: timedelta) -> Replication | None:
+    """Where changes start for an import: at the sequence in the file's header, or at one reckoned from its time and from
+    the newest change file; None when the header has neither."""
+    if header.get("sequence") is not None:
+        return Replication(header["sequence"], "", header.get("url") or "")
+    if header.get("timestamp") is None or not files:
+        return None
+    data, newest = datetime.fromtimestamp(header["timestamp"], UTC), max(files)
+    return Replication(start_sequence(newest.seq, newest.time, data, interval, before), data.isoformat())
+
+
 def waits(first: float = FIRST_WAIT, longest: float = LONGEST_WAIT) -> Iterator[float]:
     """Waits between attempts, each twice the one before."""
     w = first

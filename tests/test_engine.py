@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -13,7 +14,8 @@ from tagloom.operators.sinks import NullSink, ParquetSink, Router, open_sink, ta
 from tagloom.plans.mapping import Mapping, MappingError
 from tagloom.sources import pbf, xml
 from tagloom.streaming import state as rs
-from tagloom.streaming.stream import sequence_of, stream_changes
+from tagloom.sources.files import ChangeFile, sequence_of
+from tagloom.streaming.stream import stream_changes
 
 MAPPING = """
 tags: {include: [layer, bridge, tunnel]}
@@ -239,6 +241,63 @@ def test_stream_versions_and_tiles(spark, elements, tmp_path):
     assert lines and all(len(x.split("/")) == 3 for x in lines) and len(lines) == len(set(lines))
 
 
+def test_change_files_in_any_order_of_time(spark, elements, tmp_path):
+    """Twelve files whose times do not follow their sequences, and a gap: all up to the gap are applied, none is lost."""
+    mapping = Mapping.parse("tables: {places: {type: point, mapping: {place: [__any__]}, columns: [{name: osm_id, type: id}, {name: name, key: name, type: string}]}}")
+    e = Engine(spark, mapping, state_dir=str(tmp_path / "state"))
+    e.start(elements, last_seq=10)
+    folder, order = tmp_path / "in", [17, 12, 21, 11, 19, 14, 22, 13, 20, 16, 18]  # 15 is missing
+    folder.mkdir()
+
+    def put(seq, at):
+        f = folder / f"{seq}.osc"
+        f.write_bytes(change_xml([("modify", node(20, 8.2, 53.2, place="city", name=f"name {seq}"))]))
+        os.utime(f, (1_700_000_000 + at, 1_700_000_000 + at))
+
+    for i, seq in enumerate(order):
+        put(seq, i)
+    stream = lambda: stream_changes(spark, e, str(folder), str(tmp_path / "check"), max_files=3, once=True).awaitTermination()
+    name = lambda: {r.osm_id: r.name for r in e.current_tables()["places"].collect()}[20]
+    stream()
+    assert (e.load().last_seq, name()) == (14, "name 14")
+    put(15, 100)
+    stream()
+    assert (e.load().last_seq, name()) == (22, "name 22")
+    assert rs.load(spark, str(tmp_path / "state")).seq == 22
+
+
+def test_sequences_of_given_files(spark, tmp_path):
+    for n in ("1.osc", "11.osc"):
+        (tmp_path / n).write_bytes(change_xml([("modify", node(20, 8.2, 53.2, name=n))]))
+    got = xml.read_changes(spark, [str(tmp_path / "11.osc"), str(tmp_path / "1.osc")], 5).collect()
+    assert sorted((r.seq, r.tags["name"]) for r in got) == [(5, "11.osc"), (6, "1.osc")]
+    got = xml.read_changes(spark, f"{tmp_path}/*.osc").collect()
+    assert sorted((r.seq, r.tags["name"]) for r in got) == [(0, "1.osc"), (1, "11.osc")]
+
+
+def test_start_of_changes_after_an_import():
+    files = [ChangeFile(90, "a", datetime(2024, 1, 1, 11, tzinfo=UTC)), ChangeFile(100, "b", datetime(2024, 1, 1, 12, tzinfo=UTC))]
+    step = timedelta(hours=1), timedelta(hours=2)
+    data = int(datetime(2024, 1, 1, 10, 30, tzinfo=UTC).timestamp())
+    assert rs.after_import({"sequence": 77, "url": "u"}, files, *step) == rs.Replication(77, "", "u")
+    assert rs.after_import({"sequence": None, "timestamp": data}, files, *step).seq == 100 - 2 - 2
+    assert rs.after_import({"timestamp": data}, [], *step) is None and rs.after_import({}, files, *step) is None
+
+
+def test_failed_steps_are_tried_again():
+    slept, calls = [], []
+
+    def step():
+        calls.append(1)
+        if len(calls) < 4:
+            raise OSError("not yet")
+        return "done"
+
+    assert rs.retry(step, 5, slept.append) == "done" and slept == [2, 4, 8]
+    with pytest.raises(OSError):
+        rs.retry(lambda: (_ for _ in ()).throw(OSError()), 2, slept.append)
+
+
 def test_lookup(engine, elements):
     got = {r.id: json.loads(r.json) if r.json else None for r in engine.lookup(elements, "way", [104, 5000], full=True).collect()}
     assert got[5000] is None and [n["id"] for n in got[104]["nodes"]] == [1, 2]
@@ -283,7 +342,7 @@ def test_replication_state(spark, tmp_path):
     assert rs.start_sequence(1000, now, now - timedelta(minutes=90), timedelta(hours=1), timedelta(hours=2)) == 1000 - 2 - 2
     w = rs.waits()
     assert [next(w) for _ in range(9)] == [2, 4, 8, 16, 32, 64, 128, 256, 300]
-    assert (sequence_of("/a/000/001/234.osc.gz"), sequence_of("/x/17.osc")) == (1234, 17)
+    assert [sequence_of(p) for p in ("/a/000/001/234.osc.gz", "/x/17.osc", "/data/123/456/789/42.osc.gz", "/b/7.3.osc", "/x/none.osc")] == [1234, 17, 42, 7, 0]
 
 
 def test_missing_member_drops_all_rows(spark, engine, elements):
