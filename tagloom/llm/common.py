@@ -77,11 +77,11 @@ def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def clear_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+def clear_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """Bound Arrow batches by rows and bytes, so that long texts cannot fill a worker."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return df
 
 

@@ -89,7 +89,7 @@ def anchors(docs: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return d, a - first[d], lo - first[d], hi - first[d], h[a], c
 
 
-def _segments(text: bytes, length: int, step: int = 4 << 20) -> Iterator[tuple[int, bytes]]:
+def _segments(text: bytes, length: int, step: int = 2 << 20) -> Iterator[tuple[int, bytes]]:
     """A long text in pieces that overlap, so that each window start is in exactly one of them."""
     for s in range(0, max(1, len(text) - length + 1), step):
         yield s, text[s : s + step + length - 1]
@@ -104,7 +104,7 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
             i = 0
             while i < len(bodies):
                 pieces, j, n = [], i, 0
-                while j < len(bodies) and (j == i or n + len(bodies[j]) <= 4 << 20):
+                while j < len(bodies) and (j == i or n + len(bodies[j]) <= 2 << 20):
                     pieces += [(j, s, t) for s, t in _segments(bodies[j], length)]
                     n += len(bodies[j])
                     j += 1
@@ -112,7 +112,7 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
                 k = 0
                 while k < len(pieces):  # pieces of one long text go one by one
                     e, n = k, 0
-                    while e < len(pieces) and (e == k or n + len(pieces[e][2]) <= 4 << 20):
+                    while e < len(pieces) and (e == k or n + len(pieces[e][2]) <= 2 << 20):
                         n += len(pieces[e][2])
                         e += 1
                     part = pieces[k:e]
