@@ -70,14 +70,18 @@ class Engine:
         return generalize(self.mapping, tables, chained)
 
     def write(self, sink: ParquetSink, elements: Elements) -> None:
-        """Build and store all tables, then the generalised ones from what was stored."""
+        """Build and store all tables, then the generalised ones from what was stored.
+
+        Steps that several tables read are stored beside them while the tables are built, so that ways are resolved once.
+        """
         names = [*self.mapping.tables, *self.mapping.generalized]
         router = Router(sink, names)
-        router.write(self.tables(elements))
+        router.write(self.builder.build(elements, sink.hold))
         stored = {n: sink.read(n) for n in self.mapping.tables}
         for g in build_order(self.mapping):
             router.write({g.name: generalize_one(stored[g.source], base_table(self.mapping, g.name), g)})
             stored[g.name] = sink.read(g.name)
+        sink.release()
 
     # --- changes ---
 
@@ -107,7 +111,7 @@ class Engine:
         version = version or self._versions()[-1]
         read = lambda name: self.spark.read.parquet(self._version_path(version, name))
         elements = Elements(read("nodes"), read("ways"), read("relations"), read("coords"))
-        return ch.State(elements, {n: read(f"table_{n}") for n in self.mapping.tables}, read("complete").first()[0])
+        return ch.State(elements, {n: read(f"table_{n}") for n in [*self.mapping.tables, *self.mapping.generalized]}, read("complete").first()[0])
 
     def start(self, elements: Elements, last_seq: int | None = None) -> int:
         """The first version; changes follow from last_seq on, or from whatever comes first."""
@@ -143,9 +147,8 @@ class Engine:
         return version
 
     def current_tables(self) -> dict[str, DataFrame]:
-        """Rows of the last version, without their origins, and the generalised tables made from them."""
-        tables = {n: df.drop("_kind", "_eid") for n, df in self.load().tables.items()}
-        return tables | self.generalize(tables)
+        """Rows of the last version, generalised tables among them, without their origins."""
+        return {n: df.drop("_kind", "_eid") for n, df in self.load().tables.items()}
 
     # --- lookups ---
 

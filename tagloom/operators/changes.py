@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import quantize
@@ -18,10 +18,21 @@ from ..functions.tiles import geometry_tiles, point_tiles
 from ..plans import compiler
 from ..plans.mapping import Mapping
 from . import resolve
+from .generalize import base_table, build_order, generalize_one
 from .limit import Limit
 from .tables import Elements, TableBuilder
 
 
+def set_add(ids: Column, more: Column) -> Column:
+    """An ordered set of ids with some more."""
+    return F.array_sort(F.array_union(ids, more))
+
+
+def set_remove(ids: Column, gone: Column) -> Column:
+    """An ordered set of ids without some."""
+    return F.array_sort(F.array_except(ids, gone))
+
+
 def last_changes(changes: DataFrame) -> DataFrame:
     """The last change of each element by (seq, ord); the states in between are never seen."""
     w = Window.partitionBy("kind", "id").orderBy(F.desc("seq"), F.desc("ord"))
@@ -142,8 +153,17 @@ class State:
     last_seq: int | None = None
 
 
+def with_generalized(mapping: Mapping, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows of tables and the generalised rows made from them. These come row by row from their source and keep its
+    origins, so the rows of some elements are replaced in them as in any other table."""
+    out = dict(tables)
+    for g in build_order(mapping):
+        out[g.name] = generalize_one(out[g.source], base_table(mapping, g.name), g)
+    return out
+
+
 def initial_state(builder: TableBuilder, elements: Elements) -> State:
-    return State(elements, replace(builder, origin=True).build(elements))
+    return State(elements, with_generalized(builder.mapping, replace(builder, origin=True).build(elements)))
 
 
 def keep(name: str, df: DataFrame) -> DataFrame:
@@ -161,7 +181,7 @@ def apply_changes(builder: TableBuilder, state: State, changes: DataFrame, force
     coords, nodes = cut("coords", e.coords), cut("nodes", e.nodes)
     new = Elements(nodes, cut("ways", e.ways), cut("relations", e.relations), coords)
     ids = {kind: cut(f"ids_{kind}", d) for kind, d in affected(state.elements, new, c, deletes_cascade).items()}
-    fresh = build_rows(builder, new, ids)
+    fresh = with_generalized(builder.mapping, build_rows(builder, new, ids))
     tables = {name: replace_rows(df, fresh[name], ids) for name, df in state.tables.items()}
     seq = changes.agg(F.max("seq")).first()[0]
     last = max((s for s in (seq, state.last_seq) if s is not None), default=None)

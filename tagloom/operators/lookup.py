@@ -9,6 +9,11 @@ from . import resolve
 from .tables import Elements
 
 
+def points(elements: DataFrame, ids: list[int]) -> DataFrame:
+    """Elements of some ids; the ids are literals of the filter, so Parquet files are pruned by their least and greatest id."""
+    return elements.where(F.col("id").isin(*ids)) if ids else elements.where("false")
+
+
 def lookup(spark: SparkSession, e: Elements, kind: str, ids: list[int], full: bool = False, deps: bool = False) -> DataFrame:
     """(id, json) for each id asked for; json is null for an unknown element. A node falls back to its bare place."""
     if full and deps:

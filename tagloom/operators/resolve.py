@@ -27,10 +27,20 @@ def count_members(members: Column, kind: int) -> Column:
     return F.size(F.filter(members, lambda m: m["type"] == kind))
 
 
-def fill_relations(relations: DataFrame, ways: DataFrame, coords: DataFrame) -> DataFrame:
-    """Add `parts`, array of (pos, refs, points, tags) of the way members, to relations whose every way member is complete."""
+def member_ids(relations: DataFrame) -> DataFrame:
+    """(id) of the way members, each once."""
+    return members_of(relations, 1).select(F.col("ref").alias("id")).distinct()
+
+
+def fill_relations(relations: DataFrame, ways: DataFrame, coords: DataFrame, filled: DataFrame | None = None) -> DataFrame:
+    """Add `parts`, array of (pos, refs, points, tags) of the way members, to relations whose every way member is complete.
+
+    `filled` are ways that fill_ways() has filled already, all members' ways among them.
+    """
     wanted = members_of(relations, 1)
-    filled = fill_ways(ways.join(wanted.select(F.col("ref").alias("id")).distinct(), "id", "left_semi"), coords)
+    if filled is None:
+        filled = fill_ways(ways.join(member_ids(relations), "id", "left_semi"), coords)
+    filled = filled.select("id", "refs", "points")
     parts = wanted.join(filled.withColumnRenamed("id", "ref"), "ref").groupBy("rel").agg(F.array_sort(F.collect_list(F.struct("pos", "refs", "points"))).alias("parts"))
     full = relations.join(parts.withColumnRenamed("rel", "id"), "id", "left")
     kind = "array<struct<pos:int,refs:array<bigint>,points:array<struct<x:double,y:double>>>>"
@@ -38,7 +48,7 @@ def fill_relations(relations: DataFrame, ways: DataFrame, coords: DataFrame) ->
     return full.where(F.size("parts") == count_members(F.col("members"), 1))
 
 
-def member_rows(relations: DataFrame, known: DataFrame, nodes: DataFrame, ways: DataFrame, coords: DataFrame) -> DataFrame:
+def member_rows(relations: DataFrame, known: DataFrame, nodes: DataFrame, ways: DataFrame, coords: DataFrame, filled: DataFrame | None = None) -> DataFrame:
     """One row for each member of relations whose every member is known (member relations: in `known`):
 
     rel, pos, type, ref, role, member_tags, lon, lat (nodes), points (ways). Node members fall back to bare places.
@@ -47,7 +57,8 @@ def member_rows(relations: DataFrame, known: DataFrame, nodes: DataFrame, ways:
     m = relations.select(F.col("id").alias("rel"), F.size("members").alias("n"), F.posexplode("members").alias("pos", "m")).select("rel", "n", "pos", "m.*")
     n = m.where("type = 0").join(coords.select(F.col("id").alias("ref"), "lon", "lat"), "ref").join(nodes.select(F.col("id").alias("ref"), F.col("tags").alias("member_tags")), "ref", "left")
     w = m.where("type = 1")
-    filled = fill_ways(ways.join(w.select(F.col("ref").alias("id")).distinct(), "id", "left_semi"), coords)
+    if filled is None:
+        filled = fill_ways(ways.join(w.select(F.col("ref").alias("id")).distinct(), "id", "left_semi"), coords)
     w = w.join(filled.select(F.col("id").alias("ref"), F.col("tags").alias("member_tags"), "points"), "ref")
     r = m.where("type = 2").join(known.select(F.col("id").alias("ref"), F.col("tags").alias("member_tags")), "ref")
     rows = n.unionByName(w, allowMissingColumns=True).unionByName(r, allowMissingColumns=True)

@@ -47,6 +47,13 @@ class Sink:
     def write(self, name: str, df: DataFrame, mode: str = "overwrite") -> None:
         raise NotImplementedError
 
+    def hold(self, name: str, df: DataFrame) -> DataFrame:
+        """A step that several tables read, stored where the sink can store it."""
+        return df
+
+    def release(self) -> None:
+        """Drop the steps held."""
+
 
 class NullSink(Sink):
     """Computes rows and drops them."""
@@ -81,6 +88,17 @@ class ParquetSink(Sink):
     def read(self, name: str, schema: str | None = None) -> DataFrame:
         return self.spark.read.parquet(self.path(name, schema))
 
+    def _step(self, name: str) -> str:
+        return f"{self.root}/{self.schema}/_steps/{name}"
+
+    def hold(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(self._step(name))
+        return self.spark.read.schema(df.schema).parquet(self._step(name))
+
+    def release(self) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._step("x")).getParent()
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def _move(self, names: list[str], source: str, target: str, backup: str | None) -> None:
         """Move tables from source to target; what is there goes to backup. Tables missing in the source are skipped."""
         for name in names:

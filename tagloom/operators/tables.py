@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ from .limit import Limit, mover
 #: Offset of relation ids in the single id space; widest gap that closes a ring, by reference system.
 RELATION_OFFSET = -(10**17)
 RING_GAP = {3857: 0.1, 4326: 1e-6}
+#: Stores a step under a name and reads it back.
+Hold = Callable[[str, DataFrame], DataFrame]
 EMPTY_POLYGON = bytes([1, 3, 0, 0, 0, 0, 0, 0, 0])
 
 
@@ -142,42 +146,55 @@ class TableBuilder:
         d = d.withColumn("geometry", kernel.point(*place(F.col("lon"), F.col("lat"), self.srid)))
         return self.split(self.clipped(d, whole=True), "point", F.col("id"), "node")
 
-    def way_geometries(self, e: Elements, kind: str) -> DataFrame:
+    def matched_ways(self, e: Elements, kind: str) -> DataFrame:
         closed = compiler.is_closed(F.col("refs"))
-        d = self.matched(e.ways, kind, closed, False, compiler.way_admits(kind, F.col("tags"), closed))
+        return self.matched(e.ways, kind, closed, False, compiler.way_admits(kind, F.col("tags"), closed))
+
+    def filled_ways(self, e: Elements) -> DataFrame:
+        """All ways that some table needs, as a row of its own or as a member, with their places: resolved once for all."""
+        ids = [self.matched_ways(e, kind).select("id") for kind in ("linestring", "polygon") if self.numbers(kind)]
+        for kind in ("polygon", "relation", "relation_member"):
+            if self.numbers(kind):
+                ids.append(resolve.member_ids(self.matched(e.relations, kind, F.lit(True), True).select("id", "members").dropDuplicates(["id"])))
+        wanted = reduce(DataFrame.union, ids, e.ways.select("id").where("false")).distinct()
+        return resolve.fill_ways(e.ways.join(wanted, "id", "left_semi"), e.coords)
+
+    def way_geometries(self, e: Elements, kind: str, filled: DataFrame | None = None) -> DataFrame:
+        d = self.matched_ways(e, kind)
         # Each way is resolved once, however many tables it goes to.
-        filled = resolve.fill_ways(d.select("id", "refs").dropDuplicates(["id"]), e.coords)
+        if filled is None:
+            filled = resolve.fill_ways(d.select("id", "refs").dropDuplicates(["id"]), e.coords)
         xs, ys = self._lines("points")
         make = kernel.line if kind == "linestring" else kernel.polygon
         shapes = filled.select("id", "points", make(xs, ys).alias("geometry")).where("geometry is not null")
         return d.join(shapes, "id")
 
-    def way_rows(self, e: Elements) -> dict[str, list[DataFrame]]:
+    def way_rows(self, e: Elements, filled: DataFrame | None = None, hold: Hold = lambda name, df: df) -> dict[str, list[DataFrame]]:
         out: dict[str, list[DataFrame]] = {}
         for kind in ("linestring", "polygon"):
             if self.numbers(kind):
-                for name, df in self.split(self.clipped(self.way_geometries(e, kind)), kind, way_id(self.mapping, F.col("id")), "way").items():
+                for name, df in self.split(hold(kind, self.clipped(self.way_geometries(e, kind, filled))), kind, way_id(self.mapping, F.col("id")), "way").items():
                     out.setdefault(name, []).append(df)
         return out
 
-    def polygon_relations(self, e: Elements) -> DataFrame:
+    def polygon_relations(self, e: Elements, filled: DataFrame | None = None) -> DataFrame:
         d = self.matched(e.relations, "polygon", F.lit(True), True)
-        full = resolve.fill_relations(d.select("id", "members").dropDuplicates(["id"]), e.ways, e.coords)
+        full = resolve.fill_relations(d.select("id", "members").dropDuplicates(["id"]), e.ways, e.coords, filled)
         move = lambda p: place(p["x"], p["y"], self.srid)
         ways = F.transform("parts", lambda w: F.struct(w["refs"], F.transform(w["points"], lambda p: move(p)[0]), F.transform(w["points"], lambda p: move(p)[1])))
         shapes = full.select("id", "parts", kernel.multipolygon(ways, F.lit(RING_GAP[self.srid])).alias("geometry")).where("geometry is not null")
         return d.join(shapes, "id")
 
-    def relation_rows(self, e: Elements) -> dict[str, DataFrame]:
+    def relation_rows(self, e: Elements, filled: DataFrame | None = None) -> dict[str, DataFrame]:
         d = self.matched(e.relations, "relation", F.lit(True), True)
-        full = resolve.fill_relations(d.select("id", "members").dropDuplicates(["id"]), e.ways, e.coords).select("id")
+        full = resolve.fill_relations(d.select("id", "members").dropDuplicates(["id"]), e.ways, e.coords, filled).select("id")
         return self.split(d.join(full, "id", "left_semi").withColumn("geometry", F.lit(None).cast("binary")), "relation", relation_id(self.mapping, F.col("id")), "relation")
 
-    def member_rows(self, e: Elements, relations: DataFrame | None = None) -> dict[str, DataFrame]:
+    def member_rows(self, e: Elements, relations: DataFrame | None = None, filled: DataFrame | None = None) -> dict[str, DataFrame]:
         """Rows of e's relations, or of some of them; member relations are looked up among all."""
         d = self.matched(e.relations if relations is None else relations, "relation_member", F.lit(True), True)
         wanted = e.relations.join(d.select("id").distinct(), "id", "left_semi")
-        rows = resolve.member_rows(wanted, e.relations, e.nodes, e.ways, e.coords)
+        rows = resolve.member_rows(wanted, e.relations, e.nodes, e.ways, e.coords, filled)
         x, y = place(F.col("lon"), F.col("lat"), self.srid)
         xs, ys = self._lines("points")
         geometry = F.when(F.col("type") == 0, kernel.point(x, y)).when(F.col("type") == 1, kernel.line(xs, ys)).otherwise(F.lit(bytearray(EMPTY_POLYGON)))
@@ -200,22 +217,29 @@ class TableBuilder:
             return F.when(F.col("member_tags").isNotNull() | F.lit(c.type == "geometry"), made).alias(c.name)
         return columns.build(c, of("tags", relation_id(self.mapping, F.col("rel"))))
 
-    def build(self, elements: Elements) -> dict[str, DataFrame]:
-        """All tables of the mapping; a table that several kinds of elements feed is their union."""
+    def build(self, elements: Elements, hold: Hold | None = None) -> dict[str, DataFrame]:
+        """All tables of the mapping; a table that several kinds of elements feed is their union.
+
+        hold(name, df) stores a step that several tables read and gives back what was stored: the ways with their places,
+        which are then resolved once for all tables, and the geometries by kind.
+        """
         parts: dict[str, list[DataFrame]] = {name: [] for name in self.mapping.tables}
+        filled, held = None, hold or (lambda name, df: df)
+        if hold and any(self.numbers(k) for k in ("linestring", "polygon", "relation", "relation_member")):
+            filled = hold("ways", self.filled_ways(elements))
         for name, df in self.node_rows(elements).items():
             parts[name].append(df)
-        for name, dfs in self.way_rows(elements).items():
+        for name, dfs in self.way_rows(elements, filled, held).items():
             parts[name] += dfs
         if self.numbers("polygon"):
-            d = self.clipped(self.polygon_relations(elements))
+            d = held("multipolygon", self.clipped(self.polygon_relations(elements, filled)))
             for name, df in self.split(d, "polygon", relation_id(self.mapping, F.col("id")), "relation").items():
                 parts[name].append(df)
         if self.numbers("relation"):
-            for name, df in self.relation_rows(elements).items():
+            for name, df in self.relation_rows(elements, filled).items():
                 parts[name].append(df)
         if self.numbers("relation_member"):
-            for name, df in self.member_rows(elements).items():
+            for name, df in self.member_rows(elements, None, filled).items():
                 parts[name].append(df)
         return {name: self._union(self.mapping.tables[name], dfs) for name, dfs in parts.items()}
 

@@ -264,11 +264,6 @@ def _(spark, d):
     return _matches(nodes(spark, d), "point", "sized")
 
 
-@query("p10_limit_bbox", V_NODES + " select id from nodes where lon between -20 and 60 and lat between -35 and 45")
-def _(spark, d):
-    return nodes(spark, d).where(F.col("lon").between(-20, 60) & F.col("lat").between(-35, 45)).select("id")
-
-
 @query("p11_first_ref_semi", V_NODES + ", " + V_WAYS + " select id from ways where refs[1] in (select id from nodes where brand = 'Brand#1')")
 def _(spark, d):
     return resolve.keep_by_first_ref(ways(spark, d), nodes(spark, d).where(F.col("tags")["brand"] == "Brand#1")).select("id")
@@ -441,12 +436,13 @@ def _(spark, d):
 
 @query("w1_point_rows", V_NODES + """ select id, size::int as size, case when "type" in ('PROMO','ECONOMY') then "type" else name end as mapping_value, round(lon*20037508.342789244/180.0, 3) + 0.0::double as x, round(ln(tan((lat+90.0)*pi()/360.0))/pi()*20037508.342789244, 3) + 0.0::double as y from nodes""")
 def _(spark, d):
-    m = mapping()
-    dest = next(x for x in compiler.destinations(m, "point", F.col("tags"), F.lit(False), False) if x.table.name == "parts")
-    n = nodes(spark, d).withColumn("m", dest.match).where("m is not null")
-    row = Row(F.col("tags"), F.col("m.key"), F.col("m.value"), F.col("id"), F.lit(None))
-    cols = [columns.build(c, row) for c in dest.table.columns]
-    return n.select(*cols, F.col("m.value").alias("mapping_value"), _rounded(geometry.project_x(F.col("lon")), 3).alias("x"), _rounded(geometry.project_y(F.col("lat")), 3).alias("y"))
+    """Point rows as the engine builds them."""
+    b, e = _tables(spark, d, """
+tables:
+  parts: {type: point, mapping: {type: [PROMO, ECONOMY], name: ['red widget', __any__]}, columns: [{name: id, type: id}, {name: size, key: size, type: integer}, {name: mapping_value, type: mapping_value}, {name: geometry, type: geometry}]}
+""")
+    box = _kernel(spark).bounds(F.col("geometry"))
+    return b.node_rows(e)["parts"].select("id", "size", "mapping_value", _rounded(F.get(box, F.lit(0)), 3).alias("x"), _rounded(F.get(box, F.lit(1)), 3).alias("y"))
 
 
 _W2 = V_MERC + _LENGTH + f""", len_ as (select id, round(sum(coalesce(s, 0))/1000, 3) as km from seg group by id having count(*) > 1),
@@ -458,26 +454,60 @@ _W2 = V_MERC + _LENGTH + f""", len_ as (select id, round(sum(coalesce(s, 0))/100
 @query("w2_way_rows", _W2)
 def way_rows(spark: SparkSession, d: str) -> DataFrame:
     """Ways as linestrings: matched first, then resolved, with z-order and projected length."""
-    m = mapping()
-    closed = compiler.is_closed(F.col("refs"))
-    dest = next(x for x in compiler.destinations(m, "linestring", F.col("tags"), closed, False) if x.table.name == "lanes")
-    w = ways(spark, d).where(F.coalesce(compiler.way_admits("linestring", F.col("tags"), F.coalesce(closed, F.lit(False))), F.lit(True)))
-    w = w.withColumn("m", dest.match).where("m is not null")
-    filled = resolve.fill_ways(w, nodes(spark, d))
-    pts = geometry.without_repeats(F.transform("points", lambda p: F.struct(geometry.project_x(p["x"]).alias("x"), geometry.project_y(p["y"]).alias("y"))))
-    filled = filled.withColumn("p", pts).where("size(p) > 1")
-    z = Mapping.parse("tables: {t: {type: linestring, columns: [{name: z_order, type: wayzorder}]}}").tables["t"].columns[0]
-    row = Row(F.col("tags"), F.col("m.key"), F.col("m.value"), way_id(m, F.col("id")), F.lit(None))
-    return filled.select("id", F.col("m.value").alias("mapping_value"), columns.build(z, row), F.round(geometry.length(F.col("p")) / 1000, 3).alias("km"))
+    b, e = _tables(spark, d, """
+areas: {area_tags: ['status'], linear_tags: ['highway']}
+tables:
+  lanes: {type: linestring, mapping: {highway: [__any__], status: [P]}, columns: [{name: id, type: id}, {name: mapping_value, type: mapping_value}, {name: z_order, type: wayzorder}, {name: geometry, type: geometry}]}
+""")
+    rows = b.way_rows(e)["lanes"][0]
+    return rows.select("id", "mapping_value", "z_order", F.round(_kernel(spark).size(F.col("geometry")) / 1000, 3).alias("km"))
 
 
 @query("w5_relation_rows", V_NODES + ", " + V_WAYS + ", " + V_RELATIONS + """, bad as (select rel from members m join ways w on w.id = m.ref where len(w.refs) = 0)
  select -id as osm_id, segment as mapping_value from relations where "type" in ('route','boundary') and segment in ('BUILDING','MACHINERY','FURNITURE') and id not in (select rel from bad)""")
 def _(spark, d):
-    dest = next(x for x in compiler.destinations(mapping(), "relation", F.col("tags"), F.lit(True), True) if x.table.name == "segments")
-    r = relations(spark, d).withColumn("m", dest.match).where("m is not null")
-    full = resolve.fill_relations(r, ways(spark, d), nodes(spark, d))
-    return full.select(relation_id(mapping(), F.col("id")).alias("osm_id"), F.col("m.value").alias("mapping_value"))
+    """Relation rows as the engine builds them."""
+    b, e = _tables(spark, d, """
+tables:
+  segments: {type: relation, relation_types: [route, boundary], mapping: {segment: [BUILDING, MACHINERY, FURNITURE]}, columns: [{name: osm_id, type: id}, {name: mapping_value, type: mapping_value}]}
+""")
+    return b.relation_rows(e)["segments"]
+
+
+@query("w6_member_table", V_NODES + ", " + V_WAYS + ", " + V_RELATIONS + """, bad as (select rel from members m join ways w on w.id = m.ref where len(list_distinct(w.refs)) < 2)
+ select -r.id as osm_id, r.segment as mapping_value, m.pos::int as member_index, m.ref as member_id, 1::smallint as member_type, m.role as member_role, w.highway as highway
+ from relations r join members m on m.rel = r.id join ways w on w.id = m.ref where r."type" = 'route' and r.segment in ('BUILDING','MACHINERY') and r.id not in (select rel from bad)""")
+def _(spark, d):
+    """Rows of a relation_member table as the engine builds them, of relations whose members all have a line."""
+    b, e = _tables(spark, d, """
+tables:
+  uses: {type: relation_member, relation_types: [route], mapping: {segment: [BUILDING, MACHINERY]}, columns: [{name: osm_id, type: id}, {name: mapping_value, type: mapping_value}, {name: member_index, type: member_index}, {name: member_id, type: member_id}, {name: member_type, type: member_type}, {name: member_role, type: member_role}, {name: highway, key: highway, type: string, from_member: true}]}
+""")
+    return b.member_rows(e)["uses"].withColumn("member_type", F.col("member_type").cast("short"))
+
+
+@query("j4_member_relations", V_RELATIONS + """, up as (select id, "type", segment, id * 7 % (select max(id) from relations) + 1 as child, id % 5 + (select max(id) from relations) as lost from relations)
+ select up.id as rel, r.id as ref, 2::smallint as type, r.segment as kind from up join relations r on r.id = up.child where up.id % 3 <> 0""")
+def _(spark, d):
+    """Relations whose members are relations; those with a member that is not there have no row."""
+    r = relations(spark, d).select("id", "tags")
+    top = r.agg(F.max("id").alias("top"))
+    kind = F.lit(2).cast("tinyint").alias("type")
+    members = F.array(F.struct(kind, (F.col("id") * 7 % F.col("top") + 1).alias("ref"), F.lit("child").alias("role")))
+    lost = F.array(F.struct(kind, (F.col("id") % 5 + F.col("top") + 1).alias("ref"), F.lit("lost").alias("role")))
+    up = r.join(F.broadcast(top)).select("id", F.when(F.col("id") % 3 == 0, F.concat(members, lost)).otherwise(members).alias("members"), "tags")
+    rows = resolve.member_rows(up, r, nodes(spark, d).where("false"), ways(spark, d).where("false"), nodes(spark, d).where("false"))
+    return rows.select("rel", "ref", F.col("type").cast("short").alias("type"), F.col("member_tags")["segment"].alias("kind"))
+
+
+@query("m9_geometry_table", V_NODES + ", " + V_HEADS + """ select 'point' as kind, id, "type" as value from nodes where "type" in ('PROMO','ECONOMY')
+ union all select 'line', id, status from heads where status in ('F','P') and not (closed and coalesce(area,'')='yes')""")
+def _(spark, d):
+    """A table of type geometry takes nodes and ways alike (here by its matches, without resolving them)."""
+    b, e = _tables(spark, d, "tables: {all: {type: geometry, type_mappings: {points: {type: [PROMO, ECONOMY]}, linestrings: {status: [F, P]}}, columns: [{name: osm_id, type: id}]}}")
+    w = Elements(e.nodes, way_heads(spark, d).withColumn("refs", F.when(F.col("closed"), F.array(*[F.lit(i).cast("long") for i in (1, 2, 3, 1)])).otherwise(F.array(F.lit(1).cast("long"), F.lit(2).cast("long")))), e.relations, e.coords)
+    p = b.matched(w.nodes, "point", F.lit(False), False).select(F.lit("point").alias("kind"), "id", "value")
+    return p.union(b.matched_ways(w, "linestring").select(F.lit("line"), "id", "value"))
 
 
 @query("w8_id_mangling", "select 'way' as kind, -o_orderkey as osm_id from orders union all select 'relation', -100000000000000000 - c_custkey from customer union all select 'node', p_partkey from part")
@@ -575,8 +605,9 @@ def _(spark, d):
 
 @query("d9_ordered_sets", "select user_id as id, array_to_string(list_sort(list_distinct(list(event_id % 97))), ',') as refs from events group by user_id")
 def _(spark, d):
-    refs = F.sort_array(F.collect_set(F.col("event_id") % 97))
-    return _read(spark, d, "events").groupBy(F.col("user_id").alias("id")).agg(F.array_join(refs, ",").alias("refs"))
+    e = _read(spark, d, "events").select(F.col("user_id").alias("id"), (F.col("event_id") % 97).alias("ref"))
+    sets = e.groupBy("id").agg(F.collect_list("ref").alias("refs"))
+    return sets.select("id", F.array_join(ch.set_remove(ch.set_add(F.expr("cast(array() as array<bigint>)"), F.col("refs")), F.array(F.lit(-1).cast("long"))), ",").alias("refs"))
 
 
 # --- tiles ---
@@ -622,11 +653,30 @@ def _(spark, d):
     return _boxes(spark, d).select("id", F.explode(tiles.geometry_tiles(F.col("p"), F.lit(True), 14)).alias("t")).select("id", "t.*")
 
 
-@query("t4_line_tiles")
+@query("t4_line_tiles", _BOX + """, k as (select id, z from c where n < 500 qualify row_number() over (partition by id order by z desc) = 1),
+ p as (select id, z, pos, n, ((10.0::double + lon/1000)*20037508.342789244/180.0+20037508.342789244)/(2*20037508.342789244/power(2.0,z)) as x,
+  (20037508.342789244-ln(tan((50.0::double + lat/1000+90.0)*pi()/360.0))/pi()*20037508.342789244)/(2*20037508.342789244/power(2.0,z)) as y from places join k using (id)),
+ s as (select id, z, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as by_ from p window w as (partition by id order by pos)),
+ l as (select *, greatest(abs(bx-ax), abs(by_-ay)) as long_, least(abs(bx-ax), abs(by_-ay)) as short_, abs(by_-ay) > abs(bx-ax) as steep, case when bx > ax then 1.0 else -1.0 end as sx, case when by_ > ay then 1.0 else -1.0 end as sy
+  from s where bx is not null),
+ i as (select *, unnest(range(0, greatest(0, ceil(long_)::bigint))) as i from l where not (trunc(ax) = trunc(bx) and trunc(ay) = trunc(by_))),
+ g as (select *, case when i = 0 then 0.0 else greatest(0.0, floor((2*short_ - long_ + 2*short_*(i-1)) / (2*long_)) + 1) end as k from i)
+ select id, z::int as z, trunc(case when steep then ax + sx*k else ax + sx*i end)::int as x, trunc(case when steep then ay + sy*i else ay + sy*k end)::int as y from g
+ union select id, z::int, trunc(bx)::int, trunc(by_)::int from l
+ union select id, 14, unnest(range(floor(x-0.2)::bigint, floor(x+0.2)::bigint+1))::int as x, y from (select id, x, unnest(range(floor(y-0.2)::bigint, floor(y+0.2)::bigint+1))::int as y from p where n = 1)""")
 def _(spark, d):
     return _boxes(spark, d).select("id", F.explode(tiles.geometry_tiles(F.col("p"), F.lit(False), 14)).alias("t")).select("id", "t.*")
 
 
+@query("t7_projected_box_tiles", _BOX + """, k as (select * from c where n < 64 qualify row_number() over (partition by id order by z desc) = 1), u as (select id, z, unnest(range(floor(ax)::bigint, floor(bx)::bigint+1)) as x, ay, by_ from k)
+ select id, z::int as z, count(*)::int as n_tiles from (select id, z, x, unnest(range(floor(ay)::bigint, floor(by_)::bigint+1)) as y from u) group by id, z""")
+def _(spark, d):
+    """Tiles of boxes given in web mercator; counted, as places on a tile's edge may fall to either side by rounding."""
+    far = F.transform("p", lambda p: F.struct(geometry.project_x(p["x"]).alias("x"), geometry.project_y(p["y"]).alias("y")))
+    made = _boxes(spark, d).select("id", tiles.projected_tiles(far, F.lit(True), 14).alias("t"))
+    return made.select("id", F.get("t", F.lit(0))["z"].alias("z"), F.size("t").alias("n_tiles"))
+
+
 @query("t6_bbox", V_PLACES + " select id, round(min(lon), 6) as minx, round(min(lat), 6) as miny, round(max(lon), 6) as maxx, round(max(lat), 6) as maxy from places where not (lon = 0 and lat = 0) and id in (select id from places group by id having count(*) = max(n)) group by id")
 def _(spark, d):
     b = tiles.box(F.col("points"))
@@ -646,7 +696,9 @@ def _(spark, d):
 
 @query("s9_point_lookup", V_NODES + ' select id, round(lon, 6) as lon, "type" as kind from nodes where id in (1, 5, 77)')
 def _(spark, d):
-    return nodes(spark, d).where(F.col("id").isin(1, 5, 77)).select("id", F.round("lon", 6).alias("lon"), F.col("tags")["type"].alias("kind"))
+    from .operators.lookup import points
+
+    return points(nodes(spark, d), [1, 5, 77]).select("id", F.round("lon", 6).alias("lon"), F.col("tags")["type"].alias("kind"))
 
 
 @query("s11_append_last_wins", "select p_partkey as id, case when p_partkey % 4 = 0 then 'new' else p_type end as kind from part")
@@ -778,10 +830,10 @@ generalized_tables:
 """)
 
 
-def _tables(spark: SparkSession, d: str):
+def _tables(spark: SparkSession, d: str, text: str | None = None):
     from .operators.tables import TableBuilder
 
-    builder = TableBuilder(spark, _engine_mapping())
+    builder = TableBuilder(spark, Mapping.parse(text) if text else _engine_mapping())
     return builder, Elements(nodes(spark, d), ways(spark, d), relations(spark, d))
 
 
@@ -804,7 +856,13 @@ def _(spark, d):
     return g.select("osm_id", "type", k.kind(F.col("geometry")).alias("kind"), F.round(k.area(F.col("geometry")) / 1e6, 0).alias("km2"))
 
 
-@query("k13_ewkb_hex")
+_BITS = """case when {v} = 0 then '0000000000000000' else format('{{:03X}}', case when {v} < 0 then 2048 else 0 end + 1023 + floor(log2(abs({v})))::int)
+  || format('{{:013X}}', ((abs({v}) / power(2.0::double, floor(log2(abs({v})))) - 1) * 4503599627370496.0::double)::bigint) end"""
+_TURNED = "substr({h},15,2)||substr({h},13,2)||substr({h},11,2)||substr({h},9,2)||substr({h},7,2)||substr({h},5,2)||substr({h},3,2)||substr({h},1,2)"
+
+
+@query("k13_ewkb_hex", V_NODES + f""", b as (select id, {_BITS.format(v="lon")} as x, {_BITS.format(v="lat")} as y from nodes)
+ select id, '0101000020E6100000' || {_TURNED.format(h="x")} || {_TURNED.format(h="y")} as ewkb from b""")
 def _(spark, d):
     k = _kernel(spark)
     return nodes(spark, d).select("id", geometry.ewkb_hex(k.point(F.col("lon"), F.col("lat")), 4326).alias("ewkb"))

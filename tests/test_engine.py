@@ -218,6 +218,8 @@ def test_incremental_equals_full(spark, elements, tmp_path):
     assert e.apply(changes) == 2
     new = e.load()
     full = e.tables(new.elements)
+    full |= e.generalize(full)
+    assert set(new.tables) == set(full) and e.mapping.generalized
     for name, df in new.tables.items():
         assert comparable(df) == comparable(full[name]), name
     ids = lambda name: {r.osm_id for r in new.tables[name].collect()}
@@ -345,6 +347,22 @@ def test_replication_state(spark, tmp_path):
     assert [sequence_of(p) for p in ("/a/000/001/234.osc.gz", "/x/17.osc", "/data/123/456/789/42.osc.gz", "/b/7.3.osc", "/x/none.osc")] == [1234, 17, 42, 7, 0]
 
 
+def test_stored_tables_resolve_ways_once(spark, engine, elements, tables, tmp_path, monkeypatch):
+    """One resolution for all tables of the mapping, and the rows that tables built apart have."""
+    from tagloom.operators import resolve
+
+    calls, plain = [], resolve.fill_ways
+    monkeypatch.setattr(resolve, "fill_ways", lambda w, c: calls.append(1) or plain(w, c))
+    sink = ParquetSink(spark, str(tmp_path))
+    engine.write(sink, elements)
+    assert len(calls) == 1 and not (tmp_path / "import" / "_steps").exists()
+    for name, df in tables.items():
+        assert comparable(sink.read(name)) == comparable(df), name
+    plans = []
+    engine.builder.build(elements, lambda name, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or sink.hold(name, df))
+    assert sum("explode(refs" in p for p in plans) == 1  # refs are joined with places in one step alone
+
+
 def test_missing_member_drops_all_rows(spark, engine, elements):
     e = tb.Elements(elements.nodes, elements.ways, elements.relations, elements.coords.where("id <> 20"))
     assert engine.tables(e)["stops"].count() == 0
