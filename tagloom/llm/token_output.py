@@ -63,7 +63,7 @@ class WordEncoder(dict):
     stores are emptied when they are full.
     """
 
-    def __init__(self, path: str, limit: int = 100_000, pieces: int = 250_000):
+    def __init__(self, path: str, limit: int = 150_000, pieces: int = 400_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
