@@ -736,20 +736,31 @@ _TRIANGLE = V_MERC + """, o as (select *, first_value(x) over w as ox, first_val
  t as (select id, abs(sum(coalesce((bx-ox)*(y-oy) - (x-ox)*(by_-oy), 0)))/2 as area, min(y) as a, max(y) as z from o join ways using (id) where len(refs) = 4 and refs[1] = refs[4] group by id having count(*) = 4)"""
 
 
-@query("g7_polygon_area", _TRIANGLE + " select id, true as valid, round(area/1e6, 1) as km2 from t where area > 1e6")
+@query("g7_polygon_area", _TRIANGLE + """, rings as (select id from kept group by id having count(*) > 3 and arg_min(x, pos) = arg_max(x, pos) and arg_min(y, pos) = arg_max(y, pos))
+ select id, true as valid, case when len(refs) = 4 then round(t.area/1e6, 1) end as km2 from rings join ways using (id) left join t using (id)""")
 def _(spark, d):
-    """Closed ways of three corners, as these cannot cross themselves."""
+    """All closed ways; areas of those of three corners, as these cannot cross themselves (g8 has the areas of all)."""
     k = _kernel(spark)
-    t = _shapes(spark, d, "polygon").where("size(refs) = 4").withColumn("area", k.area(F.col("geometry"))).where("area > 1e6")
-    return t.select("id", k.call("ST_IsValid", "geometry").alias("valid"), F.round(F.col("area") / 1e6, 1).alias("km2"))
+    area = F.when(F.size("refs") == 4, F.round(k.area(F.col("geometry")) / 1e6, 1))
+    return _shapes(spark, d, "polygon").select("id", k.call("ST_IsValid", "geometry").alias("valid"), area.alias("km2"))
 
 
-@query("c15_c17_area_columns", _TRIANGLE + " select id, round(log10(area::float::double), 4) as area, round(log10((area * power(cos(atan(exp((a+(z-a)/2)/20037508.342789244*pi()))*2.0-pi()/2), 2))::float::double), 4) as webmerc_area from t where area > 1e6")
-def _(spark, d):
+def _area_columns(spark: SparkSession, d: str) -> DataFrame:
     m = Mapping.parse("tables: {t: {type: polygon, columns: [{name: area, type: area}, {name: webmerc_area, type: webmerc_area}]}}")
     row = Row(F.col("tags"), F.lit(""), F.lit(""), F.col("id"), F.col("geometry"))
-    t = _shapes(spark, d, "polygon").where("size(refs) = 4").select("id", *[columns.build(c, row) for c in m.tables["t"].columns])
-    return t.where("area > 1e6").select("id", *[F.round(F.log10(F.col(c).cast("double")), 4).alias(c) for c in ("area", "webmerc_area")])
+    return _shapes(spark, d, "polygon").select("id", F.size("refs").alias("n_refs"), *[columns.build(c, row) for c in m.tables["t"].columns])
+
+
+@query("c15_c17_area_columns")
+def _(spark, d):
+    return _area_columns(spark, d)
+
+
+@query("c15_c17_area_of_triangles", _TRIANGLE + " select id, round(log10(area::float::double), 4) as area, round(log10((area * power(cos(atan(exp((a+(z-a)/2)/20037508.342789244*pi()))*2.0-pi()/2), 2))::float::double), 4) as webmerc_area from t where area > 1e6")
+def _(spark, d):
+    """Rows of c15_c17_area_columns that have SQL: three corners cannot cross themselves."""
+    t = _area_columns(spark, d).where("n_refs = 4 and area > 1e6")
+    return t.select("id", *[F.round(F.log10(F.col(c).cast("double")), 4).alias(c) for c in ("area", "webmerc_area")])
 
 
 def _rectangles():
@@ -782,27 +793,47 @@ def _(spark, d):
     return n.where(F.size(limit.parts(F.col("geometry"))) > 0).select("id")
 
 
-_SEGMENT = """, ends as (select id, first(lon order by pos) as x1, first(lat order by pos) as y1, last(lon order by pos) as x2, last(lat order by pos) as y2 from places where pos < 2 and n >= 2 group by id having count(*) = 2),
- box as (select id, least(x1, x2) as a, greatest(x1, x2) as b, least(y1, y2) as c, greatest(y1, y2) as e from ends)"""
+_BOXES = """, box as (select id, min(lon) as a, max(lon) as b, min(lat) as c, max(lat) as e from places where n >= 2 group by id)"""
 
 
-@query("g14_clip_boxes", V_PLACES + _SEGMENT + """ select id, round((least(b, 40) - greatest(a, -60)) * (least(e, 40) - greatest(c, -40)), 6) as area from box
- where b - a > 0.05 and e - c > 0.05 and least(b, 40) - greatest(a, -60) > 0.01 and least(e, 40) - greatest(c, -40) > 0.01""")
+@query("g14_clip_boxes", V_PLACES + _BOXES + """ select id, round((least(b, 40) - greatest(a, -60)) * (least(e, 40) - greatest(c, -40)), 6) as area from box
+ where b > a and e > c and least(b, 40) > greatest(a, -60) and least(e, 40) > greatest(c, -40)""")
 def _(spark, d):
-    """The boxes around the first two places of ways, clipped to a box."""
+    """The boxes around all ways, clipped to a box. A box without extent is no polygon."""
     from .operators.limit import Limit
 
     k = _kernel(spark)
     limit = Limit.of(spark, _rectangles()[0][:1], 4326)
-    two = resolve.fill_ways(ways(spark, d).where("size(refs) >= 2").withColumn("refs", F.slice("refs", 1, 2)), nodes(spark, d))
+    filled = resolve.fill_ways(ways(spark, d).where("size(refs) >= 2"), nodes(spark, d))
     b = geometry.bounds(F.col("points"))
-    two = two.select("id", *[b[c].alias(c) for c in ("minx", "miny", "maxx", "maxy")]).where("maxx - minx > 0.05 and maxy - miny > 0.05")
-    two = two.where("least(maxx, 40) - greatest(minx, -60) > 0.01 and least(maxy, 40) - greatest(miny, -40) > 0.01")
+    boxes = filled.select("id", *[b[c].alias(c) for c in ("minx", "miny", "maxx", "maxy")]).where("maxx > minx and maxy > miny")
     ring = k.polygon(F.array("minx", "maxx", "maxx", "minx", "minx"), F.array("miny", "miny", "maxy", "maxy", "miny"))
-    parts = two.select("id", ring.alias("g")).select("id", F.explode(limit.parts(F.col("g"))).alias("p"))
+    parts = boxes.select("id", ring.alias("g")).select("id", F.explode(limit.parts(F.col("g"))).alias("p"))
     return parts.groupBy("id").agg(F.round(F.sum(k.area(F.col("p"))), 6).alias("area"))
 
 
+_CLIPPED = """, pairs as (select id, lon as x1, lat as y1, lead(lon) over w as x2, lead(lat) over w as y2 from places where n >= 2 window w as (partition by id order by pos)),
+ steps as (select id, x1, y1, x2 - x1 as dx, y2 - y1 as dy from pairs where x2 is not null and (x1 <> x2 or y1 <> y2)),
+ inside as (select *,
+  greatest(0, case when dx > 0 then (-60 - x1)/dx when dx < 0 then (40 - x1)/dx when x1 between -60 and 40 then 0 else 2 end, case when dy > 0 then (-40 - y1)/dy when dy < 0 then (40 - y1)/dy when y1 between -40 and 40 then 0 else 2 end) as t0,
+  least(1, case when dx > 0 then (40 - x1)/dx when dx < 0 then (-60 - x1)/dx else 1 end, case when dy > 0 then (40 - y1)/dy when dy < 0 then (-40 - y1)/dy else 1 end) as t1 from steps),
+ ends as (select id, unnest([x1 + t0*dx, x1 + t1*dx]) as x, unnest([y1 + t0*dy, y1 + t1*dy]) as y from inside where t1 - t0 > 1e-9)"""
+
+
+@query("g14_clip_lines", V_PLACES + _CLIPPED + " select id, round(min(x), 6) + 0.0 as minx, round(max(x), 6) + 0.0 as maxx, round(min(y), 6) + 0.0 as miny, round(max(y), 6) + 0.0 as maxy from ends group by id")
+def _(spark, d):
+    """All ways as lines, clipped to a box: the bounds of what is inside."""
+    from .operators.limit import Limit
+
+    k = _kernel(spark)
+    limit = Limit.of(spark, _rectangles()[0][:1], 4326)
+    filled = resolve.fill_ways(ways(spark, d).where("size(refs) >= 2"), nodes(spark, d))
+    lines = filled.select("id", k.line(F.transform("points", lambda p: p["x"]), F.transform("points", lambda p: p["y"])).alias("g"))
+    parts = lines.where("g is not null").select("id", F.explode(limit.parts(F.col("g"))).alias("p")).select("id", k.bounds(F.col("p")).alias("b"))
+    sides = {c: F.col("b")[i] for i, c in enumerate(("minx", "miny", "maxx", "maxy"))}
+    return parts.groupBy("id").agg(*[(F.round((F.min if c.startswith("min") else F.max)(x), 6) + 0.0).alias(c) for c, x in sides.items()])
+
+
 @query("p10_near_limit", V_NODES + " select id from nodes where lon between -60 and 40 and lat between -40 and 40")
 def _(spark, d):
     from .operators.limit import Limit

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -136,6 +137,27 @@ def test_clip(geo):
     assert parts("POLYGON((5 5, 15 5, 15 15, 5 15, 5 5))")[0][2] == 25
 
 
+def test_lines_that_cross_themselves_are_clipped_as_their_steps_are(geo):
+    """Random lines against a box, step by step; places are tenths, so that steps meet at places without exact coordinates."""
+    r = random.Random(5)
+    lines = [(i, [r.randrange(-200, 300) / 10 for _ in range(7)], [r.randrange(-200, 300) / 10 for _ in range(7)]) for i in range(5000)]
+
+    def inside(x, y, dx, dy):
+        t0, t1 = 0.0, 1.0
+        for at, step in ((x, dx), (y, dy)):
+            if step:
+                a, b = sorted(((0 - at) / step, (10 - at) / step))
+                t0, t1 = max(t0, a), min(t1, b)
+            elif not 0 <= at <= 10:
+                return 0.0
+        return max(0.0, t1 - t0) * math.hypot(dx, dy)
+
+    want = {i: sum(inside(a, b, c - a, d - b) for a, b, c, d in zip(x, y, x[1:], y[1:], strict=False)) for i, x, y in lines}
+    d = geo.createDataFrame(lines, "id bigint, x array<double>, y array<double>").select("id", kernel.line(F.col("x"), F.col("y")).alias("g"))
+    got = dict(d.select("id", F.explode(limit(geo).parts(F.col("g"))).alias("p")).groupBy("id").agg(F.sum(kernel.size(F.col("p")))).collect())
+    assert all(got.get(i, 0.0) == pytest.approx(w, abs=1e-6) for i, w in want.items())
+
+
 def test_halved_limit_covers_the_whole_and_clips_the_same(geo):
     """A wavy outline of many corners: its parts add up to it, and clipping by a part is clipping by the whole."""
     n = 600
